@@ -93,11 +93,11 @@ def matched_prefix(name: Column, prefixes: list[str]) -> Column:
     """First of the prefixes that starts the name and is not continued by another digit."""
     if not prefixes:
         return F.lit("")
-    choices = "|".join(_literal(prefix) for prefix in prefixes)
+    choices = "|".join(literal_pattern(prefix) for prefix in prefixes)
     return F.regexp_extract(name, rf"^({choices})(?![0-9])", 1)
 
 
-def _literal(text: str) -> str:
+def literal_pattern(text: str) -> str:
     """Text as a pattern that matches just that text."""
     return re.sub(r"([^\w])", r"\\\1", text)
 

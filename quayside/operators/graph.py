@@ -20,7 +20,7 @@ HOT_DEGREE = 1_000_000
 HOT_KEYS = 4096
 EDGES_PER_BUCKET = 5_000_000
 MAX_BUCKETS = 100_000
-ROUNDS_PER_WRITE = 5
+ROUNDS_PER_WRITE = 4
 HOPS_PER_WRITE = 20
 
 
@@ -96,11 +96,15 @@ def repeat_keys(values: DataFrame, key: str, hot: DataFrame | None) -> DataFrame
 
 @contextmanager
 def laid_out(edges: DataFrame, keys: list[str], n_edges: int) -> Iterator[DataFrame]:
-    """Edges in a table bucketed by ``keys`` while the block lasts.
+    """Edges as a written table for the rounds in the block, bucketed by ``keys`` when large.
 
-    Rounds that join on the keys then read their buckets and shuffle the other side only.
+    Rounds that join on the keys then read their buckets and shuffle the other side only. Edges
+    that fit one bucket are just written; their size on disk tells Spark how to join them.
     """
     spark = edges.sparkSession
+    if n_edges <= EDGES_PER_BUCKET:
+        yield materialize(edges, "edges")
+        return
     buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-n_edges // EDGES_PER_BUCKET))
     buckets = min(buckets, MAX_BUCKETS)
     path = scratch_path(spark, "edges")

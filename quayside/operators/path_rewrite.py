@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quayside.functions.names import _literal
+from quayside.functions.names import base_name, literal_pattern
+from quayside.sources.storage import open_store
 
 
 def rewrite_paths(frame: DataFrame, column: str, old: str, new: str) -> DataFrame:
@@ -15,7 +19,7 @@ def rewrite_paths(frame: DataFrame, column: str, old: str, new: str) -> DataFram
 
 def replaced(text: Column, old: str, new: str) -> Column:
     """Text with a literal replaced wherever it occurs."""
-    fixed = F.regexp_replace(text, _literal(old), new.replace("\\", "\\\\").replace("$", "\\$"))
+    fixed = F.regexp_replace(text, literal_pattern(old), new.replace("\\", "\\\\").replace("$", "\\$"))
     return F.when(text.contains(old), fixed).otherwise(text)
 
 
@@ -27,3 +31,23 @@ def changed_only(frame: DataFrame, column: str, old: str) -> DataFrame:
 def residual(frame: DataFrame, column: str, old: str) -> DataFrame:
     """One row: in how many rows ``old`` is still found; 0 after a rewrite."""
     return frame.agg(F.count_if(F.col(column).contains(old)).alias("residual"))
+
+
+def write_text_objects(objects: DataFrame, folder_uri: str, ending: str) -> None:
+    """Each ``body`` as an object of its own, named like its ``file_path``, in another folder.
+
+    Tasks write their own objects; writing one again replaces it.
+    """
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        store, folder = open_store(folder_uri)
+        store.create_dir(folder, recursive=True)
+        for batch in batches:
+            for name, body in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                with store.open_output_stream(f"{folder}/{name}") as handle:
+                    handle.write(body.encode())
+            yield batch.select([0])
+
+    named = objects.select(base_name(F.col("file_path")).alias("name"), "body")
+    written = named.where(F.col("name").endswith(ending)).mapInArrow(write, "name string")
+    written.write.format("noop").mode("overwrite").save()

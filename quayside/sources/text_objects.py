@@ -8,10 +8,10 @@ from pyspark.sql import functions as F
 
 def read_text_objects(spark: SparkSession, path: str, glob: str | None = None, recursive: bool = True) -> DataFrame:
     """One row per object: ``file_path`` (URL-encoded, as the reader gives it) and ``body``."""
-    reader = spark.read.option("wholetext", True).option("recursiveFileLookup", recursive)
+    reader = spark.read.option("recursiveFileLookup", recursive)
     if glob:
         reader = reader.option("pathGlobFilter", glob)
-    return reader.text(path).select(
+    return reader.text(path, wholetext=True).select(
         F.col("_metadata.file_path").alias("file_path"), F.col("value").alias("body")
     )
 
