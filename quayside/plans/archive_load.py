@@ -13,7 +13,6 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from quayside.functions import column_types, names
 from quayside.plans import load_log
@@ -27,6 +26,11 @@ from quayside.sources.delimited import quote
 from quayside.sources.listing import list_files
 
 ARCHIVES = "*.zip"
+_FILE_SCHEMA = (
+    "source string, target_table string, member string, header string, status string, error string, "
+    "member_bytes bigint, n_blocks bigint"
+)
+_LINE_SCHEMA = "source string, line string"
 
 
 class ArchiveLoader(Loader):
@@ -131,8 +135,7 @@ class ArchiveLoader(Loader):
 
     def _lines(self, stage: str, target: str, header: list[str]) -> DataFrame:
         folder = f"target_key={archives.target_key(target)}/header_key={archives.header_key(header)}"
-        schema = T.StructType.fromDDL("source string, line string")
-        return read_or_empty(self.spark, f"{stage}/kind=line/{folder}", schema)
+        return read_or_empty(self.spark, f"{stage}/kind=line/{folder}", _LINE_SCHEMA)
 
     def _profile(self, rows: DataFrame, columns: list[str], declared: dict[str, str]) -> DataFrame:
         """Per file: number of rows, and for each column which types its values rule out."""
@@ -153,12 +156,6 @@ class ArchiveLoader(Loader):
         }
 
 
-_FILE_SCHEMA = T.StructType.fromDDL(
-    "source string, target_table string, member string, header string, status string, error string, "
-    "member_bytes bigint, n_blocks bigint"
-)
-
-
 def stage_lines(files: DataFrame, csv: CsvFormat, stage: str) -> None:
     """Open archives and put their lines and file rows into the stage tier, in one pass.
 

@@ -8,7 +8,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from quayside.session import read_or_empty
 
@@ -69,11 +68,10 @@ class LoadLog:
     def __init__(self, spark: SparkSession, path: str):
         self.spark = spark
         self.path = path
-        self._schema = T.StructType.fromDDL(LOG_SCHEMA)
 
     def rows(self) -> DataFrame:
         """Everything in the log, both phases."""
-        return read_or_empty(self.spark, self.path, self._schema)
+        return read_or_empty(self.spark, self.path, LOG_SCHEMA)
 
     def outcomes(self) -> DataFrame:
         """Final statuses, one row per file and load."""
@@ -100,7 +98,7 @@ class LoadLog:
         self._write(load_id, "done", files)
 
     def _write(self, load_id: str, phase: str, files: DataFrame) -> None:
-        rows = log_rows(files).select(*[f.name for f in self._schema][:-2])
+        rows = log_rows(files).select(*LOG_COLUMNS[1:])
         rows.write.mode("overwrite").parquet(f"{self.path}/load_id={load_id}/phase={phase}")
 
     def loads(self) -> DataFrame:

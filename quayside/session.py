@@ -77,7 +77,7 @@ def materialize(frame: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(frame.schema).parquet(path)
 
 
-def read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+def read_or_empty(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
     """Parquet at ``path``, or no rows when nothing was written there yet."""
     try:
         return spark.read.schema(schema).parquet(path)
