@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import itertools
 import uuid
 import zipfile
 from collections.abc import Iterator
@@ -15,6 +16,7 @@ from quayside.session import scratch_path
 from quayside.sources.storage import open_store
 
 ROWS_PER_ARCHIVE = 1_000_000
+ROWS_PER_WRITE = 10_000
 
 _landed: dict[tuple, str] = {}
 
@@ -46,36 +48,28 @@ def land_archives(named: DataFrame, landing: str) -> None:
     write_archives(named.select("name", F.to_csv(values).alias("line")), ",".join(columns), landing)
 
 
-def write_archives(lines: DataFrame, header: str, landing: str, member: str = ".csv") -> None:
-    """Zip the ``line`` rows of each ``name`` below a header line."""
+def write_archives(lines: DataFrame, header: str, landing: str, ending: str = ".csv") -> None:
+    """Zip the ``line`` rows of each ``name`` below a header line; no header, no lines."""
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         store, folder = open_store(landing)
         store.create_dir(folder, recursive=True)
-        current, closers = None, []
-        target = None
-
-        def close() -> None:
-            for closer in closers:
-                closer.close()
-            if current is not None:
-                store.move(f"{folder}/_{current}.part", f"{folder}/{current}.zip")
-
-        for batch in batches:
-            for row_name, line in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                if row_name != current:
-                    close()
-                    current = row_name
-                    handle = store.open_output_stream(f"{folder}/_{current}.part")
-                    archive = zipfile.ZipFile(handle, "w", zipfile.ZIP_DEFLATED)
-                    target = archive.open(f"{current}{member}", "w")
-                    target.write(f"{header}\n".encode() if header else b"")
-                    closers = [target, archive, handle]
-                target.write(f"{line}\n".encode() if header else b"")
-        close()
+        rows = (row for batch in batches for row in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()))
+        for name, group in itertools.groupby(rows, key=lambda row: row[0]):
+            part = f"{folder}/_{name}.part"
+            with (
+                store.open_output_stream(part) as handle,
+                zipfile.ZipFile(handle, "w", zipfile.ZIP_DEFLATED) as archive,
+                archive.open(f"{name}{ending}", "w") as member,
+            ):
+                member.write(f"{header}\n".encode() if header else b"")
+                while header and (some := list(itertools.islice(group, ROWS_PER_WRITE))):
+                    member.write("".join(f"{line}\n" for _, line in some).encode())
+            store.move(part, f"{folder}/{name}.zip")
         yield from ()
 
-    ordered = lines.repartition("name").sortWithinPartitions("name", "line")
+    n_tasks = 2 * lines.sparkSession.sparkContext.defaultParallelism
+    ordered = lines.repartition(n_tasks, "name").sortWithinPartitions("name", "line")
     ordered.mapInArrow(write, "name string").write.format("noop").mode("overwrite").save()
 
 

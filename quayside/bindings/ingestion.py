@@ -146,7 +146,7 @@ def _mixed_landing(spark: SparkSession, sf_dir: str) -> str:
     kind = F.dayofmonth("ts") % 4
     land_archives(events.where(kind > 1), landing)
     lines = events.select("name", F.to_csv(F.struct("event_id")).alias("line"), kind.alias("kind"))
-    write_archives(lines.where("kind = 0"), "event_id", landing, member=".txt")
+    write_archives(lines.where("kind = 0"), "event_id", landing, ending=".txt")
     write_archives(lines.where("kind = 1").groupBy("name").agg(F.lit("").alias("line")), "", landing)
     return landing
 

@@ -163,7 +163,7 @@ def stage_lines(files: DataFrame, csv: CsvFormat, stage: str) -> None:
     """
     spread = files.select("source", "target_table").repartition(archives.tasks_for(files))
     rows = archives.split_lines(archives.open_archives(spread, csv)).drop("line_no")
-    with session_settings(files.sparkSession, {"spark.sql.maxConcurrentOutputFileWriters": "64"}):
+    with session_settings(files.sparkSession, {"spark.sql.maxConcurrentOutputFileWriters": "16"}):
         rows.write.mode("overwrite").partitionBy("kind", "target_key", "header_key").parquet(stage)
 
 

@@ -108,15 +108,20 @@ class LoadLog:
             F.count_if(F.col("phase") == "done").alias("finished"),
         )
 
-    def unfinished(self) -> list[str]:
-        """Loads that announced files without recording how all of them ended."""
-        rows = self.loads().where("finished < intended").orderBy("load_id").collect()
-        return [row["load_id"] for row in rows]
-
-    def next_load_id(self, files: DataFrame) -> tuple[str | None, int]:
-        """Id made from the pending files and the number of loads so far; None without files."""
-        fingerprint = F.bit_xor(F.xxhash64("source", "target_table", "n_bytes"))
-        row = files.agg(F.count("*").alias("n"), F.hex(fingerprint).alias("h")).first()
-        if not row["n"]:
-            return None, 0
-        return f"L{self.loads().count()}-{row['h']}", row["n"]
+    def state(self) -> tuple[int, list[str]]:
+        """Number of loads, and those that did not record how all of their files ended.
+
+        With one writer per table that is the last load at most.
+        """
+        unfinished = F.when(F.col("finished") < F.col("intended"), F.col("load_id"))
+        row = self.loads().agg(
+            F.count("*").alias("n"), F.array_sort(F.collect_list(unfinished)).alias("unfinished")
+        ).first()
+        return row["n"], row["unfinished"]
+
+
+def fingerprint(files: DataFrame) -> tuple[str, int]:
+    """Hash of a list of files that does not depend on their order, and their number."""
+    combined = F.bit_xor(F.xxhash64("source", "target_table", "n_bytes"))
+    row = files.agg(F.hex(combined).alias("hash"), F.count("*").alias("n")).first()
+    return row["hash"], row["n"]

@@ -56,7 +56,7 @@ class Loader:
         """Write the data of a load; give back ``source, target_table, status, error, n_rows``."""
         raise NotImplementedError
 
-    def portions(self, load_id: str | None, pending: DataFrame, n_pending: int) -> Iterator[tuple[str, DataFrame]]:
+    def portions(self, load_id: str, pending: DataFrame, n_pending: int) -> Iterator[tuple[str, DataFrame]]:
         """Loads to take the pending files in; one, unless a kind of file needs more."""
         if n_pending:
             yield load_id, pending
@@ -65,17 +65,23 @@ class Loader:
 
     def run(self) -> DataFrame:
         """Load what is new. One row: found, processed, skipped, failed, logged."""
-        done = [self.load(load_id) for load_id in self.log.unfinished()]
+        n_loads, unfinished = self.log.state()
+        done = [self.load(load_id) for load_id in unfinished]
         discovered = self.discover()
         found = discovered.count()
-        load_id, n_pending = None, 0
-        if found:
-            pending = load_log.pending_files(discovered, self.log.outcomes())
-            load_id, n_pending = self.log.next_load_id(pending)
-            for part_id, part in self.portions(load_id, pending, n_pending):
-                self.log.write_intents(part_id, part)
-                done.append(self.load(part_id))
-        return self.summary(found, done, found - n_pending)
+        if not found:
+            return self.summary(0, done, 0)
+        logged = self.log.outcomes()
+        pending = load_log.pending_files(discovered, logged)
+        combined, n_pending = load_log.fingerprint(pending)
+        already = found - n_pending
+        if done:  # what was just run again counts as processed, not as skipped
+            before = logged.where(~F.col("load_id").isin(done))
+            already = load_log.already_loaded_files(discovered, before).count()
+        for load_id, part in self.portions(f"L{n_loads}-{combined}", pending, n_pending):
+            self.log.write_intents(load_id, part)
+            done.append(self.load(load_id))
+        return self.summary(found, done, already)
 
     def load(self, load_id: str) -> str:
         """Run, or run again, one announced load."""

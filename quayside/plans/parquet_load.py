@@ -48,7 +48,7 @@ class ParquetLoader(Loader):
         files = list_files(self.spark, self.tiers.raw, "*.parquet", recursive=True)
         return files.withColumn("target_table", F.lit(self.target))
 
-    def portions(self, load_id: str | None, pending: DataFrame, n_pending: int) -> Iterator[tuple[str, DataFrame]]:
+    def portions(self, load_id: str, pending: DataFrame, n_pending: int) -> Iterator[tuple[str, DataFrame]]:
         n = -(-n_pending // self.files_per_load)
         for i in range(n):
             yield f"{load_id}-{i}", pending.where(F.pmod(F.xxhash64("source"), F.lit(n)) == i)

@@ -10,6 +10,7 @@ from __future__ import annotations
 import codecs
 import csv
 import hashlib
+import io
 import json
 import re
 import zipfile
@@ -23,6 +24,7 @@ from pyspark.sql import types as T
 
 from quayside.sources.storage import open_store
 
+READ_BYTES = 8 << 20
 LINE_BREAK = r"\r\n|\r|\n"
 
 BLOCK_SCHEMA = (
@@ -109,9 +111,17 @@ def _take_first_line(blocks: Iterator[str]) -> tuple[str | None, int, str]:
     return None, number, ""
 
 
+def open_zip(handle) -> zipfile.ZipFile:
+    """Archive behind a store's file handle, read in pieces of ``READ_BYTES``."""
+    try:
+        return zipfile.ZipFile(io.BufferedReader(handle, READ_BYTES))
+    except pa.ArrowInvalid as error:  # what a store says when the file is too short to be one
+        raise zipfile.BadZipFile("File is not a zip file") from error
+
+
 def _read_member(handle, source: str, csv_format: CsvFormat, found: dict) -> Iterator[dict]:
     """Blocks of the first CSV member; what is known about the file is put into ``found``."""
-    with zipfile.ZipFile(handle) as archive:
+    with open_zip(handle) as archive:
         member = next((m for m in archive.infolist() if m.filename.lower().endswith(".csv")), None)
         if member is None:
             found["status"] = "no_csv"
