@@ -11,7 +11,7 @@ import json
 from collections.abc import Mapping
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quayside.functions import column_types, names
@@ -26,6 +26,7 @@ from quayside.sources.delimited import quote
 from quayside.sources.listing import list_files
 
 ARCHIVES = "*.zip"
+SAMPLE_ROWS = 50_000
 _FILE_SCHEMA = (
     "source string, target_table string, member string, header string, status string, error string, "
     "member_bytes bigint, n_blocks bigint"
@@ -115,45 +116,81 @@ class ArchiveLoader(Loader):
         rows = reduce(DataFrame.unionByName, parsed)
         if damaged is not None:
             rows = without(rows, damaged)
-        declared_types = {name: data_type.simpleString() for name, data_type in declared.items()}
-        profile = materialize(self._profile(rows, columns, declared_types), "profile")
-        types = self._types(profile, columns, declared_types)
-        broken = [
-            F.when(column_types.breaks_declared(F.col(f"mask_{i}")), F.lit(f"{c}: not {declared_types[c]}"))
-            for i, c in enumerate(columns)
-            if declared_types.get(c, "string") != "string"
-        ]
-        problem = F.nullif(F.concat_ws("; ", *broken), F.lit("")) if broken else F.lit(None).cast("string")
-        checked = profile.select("source", F.lit(target).alias("target_table"), "n_rows", problem.alias("problem"))
-        if broken:
-            drifted = checked.where("problem IS NOT NULL")
-            if drifted.take(1):
-                rows = without(rows, drifted)
+        counts = materialize(rows.groupBy("source").agg(F.count("*").alias("n_rows")), "counts")
+        fixed = {name: data_type.simpleString() for name, data_type in declared.items()}
+        types, misfits = self._find_types(rows, columns, fixed, counts)
+        checked = counts.withColumn("target_table", F.lit(target))
+        if misfits is None:
+            checked = checked.withColumn("problem", F.lit(None).cast("string"))
+        else:
+            checked = checked.join(misfits, "source", "left")
+            rows = without(rows, misfits)
         typed = [F.col(quote(c)).cast(types[c]).alias(c) for c in columns]
         self.write_table(load_id, target, rows.select(*typed, F.col("source").alias(SOURCE_COLUMN)))
+        checked = checked.select("source", "target_table", "n_rows", "problem")
         return checked.unionByName(refused_files) if refused else checked
 
     def _lines(self, stage: str, target: str, header: list[str]) -> DataFrame:
         folder = f"target_key={archives.target_key(target)}/header_key={archives.header_key(header)}"
         return read_or_empty(self.spark, f"{stage}/kind=line/{folder}", _LINE_SCHEMA)
 
-    def _profile(self, rows: DataFrame, columns: list[str], declared: dict[str, str]) -> DataFrame:
-        """Per file: number of rows, and for each column which types its values rule out."""
-        masks = [
-            F.bit_or(column_types.ruled_out(F.col(quote(c)), declared.get(c))).alias(f"mask_{i}")
-            for i, c in enumerate(columns)
-            if declared.get(c) != "string" and (c in declared or self.csv.infer_schema)
-        ]
-        return rows.groupBy("source").agg(F.count("*").alias("n_rows"), *masks)
-
-    def _types(self, profile: DataFrame, columns: list[str], declared: dict[str, str]) -> dict[str, str]:
-        """Type per column: the table's own, else the narrowest that all files of the load allow."""
-        inferred = [i for i, c in enumerate(columns) if c not in declared and f"mask_{i}" in profile.columns]
-        masks = profile.agg(*[F.bit_or(f"mask_{i}").alias(f"mask_{i}") for i in inferred]).first() if inferred else {}
-        return {
-            c: declared[c] if c in declared else column_types.narrowest(masks[f"mask_{i}"]) if i in inferred else "string"
-            for i, c in enumerate(columns)
-        }
+    def _find_types(
+        self, rows: DataFrame, columns: list[str], declared: dict[str, str], counts: DataFrame
+    ) -> tuple[dict[str, str], DataFrame | None]:
+        """Types of the columns, and the files that do not fit those declared (or None).
+
+        Columns without a declared type get the narrowest that all rows allow. A few rows say
+        what to expect; then all rows are held against it, and the costly tests are left to the
+        values that do not meet it. The outcome does not depend on which rows were the few.
+        """
+        new = [c for c in columns if c not in declared] if self.csv.infer_schema else []
+        total = counts.agg(F.sum("n_rows")).first()[0] or 0
+        some = rows if total <= SAMPLE_ROWS else rows.sample(SAMPLE_ROWS / total, seed=1)
+        seen = _masks_by_name(column_types.column_masks(some, "source", _quoted(new)), new) if new else {}
+        expected: dict[str, str | None] = {c: t for c, t in declared.items() if t != "string"}
+        held = list(expected)
+        if total > SAMPLE_ROWS:
+            guessed = {c: column_types.narrowest(mask) if mask else None for c, mask in seen.items()}
+            expected.update({c: t for c, t in guessed.items() if t != "string"})
+        misfits = None
+        if expected:
+            names = list(expected)
+            masks = column_types.column_masks(rows, "source", _quoted(names), list(expected.values()))
+            masks = materialize(masks, "masks")
+            for name, mask in _masks_by_name(masks, names).items():
+                if name in seen:
+                    seen[name] |= mask
+            misfits = _files_that_do_not_fit(masks, {name: declared[name] for name in held})
+        types = {c: declared.get(c) or column_types.narrowest(seen.get(c)) for c in columns}
+        return types, misfits
+
+
+def _quoted(columns: list[str]) -> list[Column]:
+    return [F.col(quote(c)) for c in columns]
+
+
+def _masks_by_name(masks: DataFrame, names: list[str]) -> dict[str, int]:
+    """Mask of each column over all files; 0 where no value was looked at."""
+    rows = masks.groupBy("position").agg(F.bit_or("mask").alias("mask")).collect()
+    found = {row["position"]: row["mask"] for row in rows}
+    return {name: found.get(i) or 0 for i, name in enumerate(names)}
+
+
+def _files_that_do_not_fit(masks: DataFrame, declared: dict[str, str]) -> DataFrame | None:
+    """``source, problem`` of files with values the declared types cannot hold; None without any."""
+    problem = F.lit(None).cast("string")
+    for i, (name, kind) in enumerate(declared.items()):
+        wrong = (F.col("position") == i) & column_types.does_not_fit(F.col("mask"), kind)
+        problem = F.when(wrong, f"{name}: not {kind}").otherwise(problem)
+    if not declared:
+        return None
+    misfits = (
+        masks.select("source", problem.alias("problem"))
+        .where("problem IS NOT NULL")
+        .groupBy("source")
+        .agg(F.array_join(F.array_sort(F.collect_list("problem")), "; ").alias("problem"))
+    )
+    return misfits if misfits.take(1) else None
 
 
 def stage_lines(files: DataFrame, csv: CsvFormat, stage: str) -> None:

@@ -8,7 +8,7 @@ import zipfile
 import pytest
 from pyspark.sql import functions as F
 
-from quayside.plans import load_log
+from quayside.plans import archive_load, load_log
 from quayside.plans.archive_load import ArchiveLoader
 from quayside.plans.loading import Tiers
 from quayside.sources import archives
@@ -152,6 +152,21 @@ def test_types_are_found_over_all_archives(spark, area, rows):
     assert loader.table("t").agg(F.sum("l"), F.max("d")).first() == (10000000000, 1.5)
 
 
+@pytest.mark.parametrize("sample_rows", [0.001, 5, 1000])
+def test_types_do_not_depend_on_the_sample(spark, area, sample_rows, monkeypatch):
+    monkeypatch.setattr(archive_load, "SAMPLE_ROWS", sample_rows)
+    lines = [f"{i},{i},{i},{i},2025-01-{i % 28 + 1:02d}," for i in range(1, 301)]
+    lines[250] = "251,2.5,text,99999999999,2025-01-01 10:00:00,true"
+    area.csv("a.zip", "i,d,s,l,at,late\n" + "\n".join(lines[:200]))
+    area.csv("b.zip", "i,d,s,l,at,late\n" + "\n".join(lines[200:]))
+    loader = ArchiveLoader(spark, area.tiers, table="t")
+    loader.run()
+    types = {f.name: f.dataType.simpleString() for f in loader.table("t").schema}
+    assert {c: types[c] for c in ("i", "d", "s", "l", "at", "late")} == {
+        "i": "int", "d": "double", "s": "string", "l": "bigint", "at": "timestamp", "late": "boolean"}
+    assert loader.table("t").agg(F.sum("d"), F.count("at"), F.count("late")).first() == (45150 - 251 + 2.5, 300, 1)
+
+
 def test_text_in_a_numeric_column_is_reported(spark, area, rows):
     area.csv("a.zip", "id,v\n1,10\n")
     loader = ArchiveLoader(spark, area.tiers, table="t")

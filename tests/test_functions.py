@@ -130,8 +130,35 @@ def test_narrowest_type(spark, values, expected):
         assert frame.where(F.col("v").isNotNull() & F.col("v").try_cast(expected).isNull()).count() == 0
 
 
-def test_declared_type(spark):
-    frame = spark.createDataFrame([(1, "1"), (1, None), (2, "1"), (2, "x")], "k int, v string")
-    masks = frame.groupBy("k").agg(F.bit_or(column_types.ruled_out(F.col("v"), "int")).alias("m"))
-    found = {r["k"]: r["b"] for r in masks.select("k", column_types.breaks_declared(F.col("m")).alias("b")).collect()}
-    assert found == {1: False, 2: True}
+VALUES = [
+    "1", "-7", "+3", "007", "2147483648", "99999999999999999999", "1.5", ".5", "5.", "1e5", "1.", "NaN", "-Infinity", "1d",
+    "0x1p3", "1-2", " 1", "1 ", "\t1", "", "2025-01-31", "2025-02-30", "2025-1-31", "2025-01-31 10:00:00",
+    "2025-01-31T9:05", "2025-01-31 10:00:00.123456", "2025-01-31 25:00", "2025-01-31 10", "true", "TRUE", "t", "x",
+    "Ж", "3000000000", "12345678901234567890123456789012345678", "-", "+", ".", "10:30", "2025-01-31 10:00:00Z",
+]
+
+
+@pytest.mark.parametrize("kind", column_types.CANDIDATES)
+def test_what_surely_fits_does_fit(spark, kind):
+    """The cheap test never passes a value that the full test refuses."""
+    frame = spark.createDataFrame([(v,) for v in VALUES], "v string")
+    tested = frame.select(
+        "v", F.coalesce(column_types.surely_fits(F.col("v"), kind), F.lit(False)).alias("sure"),
+        column_types.does_not_fit(column_types.ruled_out(F.col("v")), kind).alias("refused"),
+        F.col("v").try_cast(kind).isNotNull().alias("casts"),
+    ).collect()
+    assert [r["v"] for r in tested if r["sure"] and r["refused"]] == []
+    assert [r["v"] for r in tested if not r["refused"] and not r["casts"]] == []
+    assert any(r["sure"] for r in tested)
+
+
+def test_masks_with_and_without_expectation(spark):
+    rows = [("a", "1", "x", None), ("a", "2", "y", None), ("b", "3", "z", "true"), ("c", "4.5", "w", None)]
+    frame = spark.createDataFrame(rows, "k string, n string, s string, late string")
+    columns = [F.col(c) for c in ("n", "s", "late")]
+    full = {(r["k"], r["position"]): r["mask"] for r in column_types.column_masks(frame, "k", columns).collect()}
+    assert column_types.narrowest(full["a", 0] | full["b", 0]) == "int"
+    assert column_types.narrowest(full["c", 0]) == "double"
+    some = {(r["k"], r["position"]): r["mask"] for r in
+            column_types.column_masks(frame, "k", columns, ["int", "string", None]).collect()}
+    assert some == {("c", 0): full["c", 0], ("b", 2): full["b", 2]}
