@@ -8,7 +8,7 @@ already spread over many tasks.
 from __future__ import annotations
 
 import json
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -27,6 +27,8 @@ from quayside.sources.listing import list_files
 
 ARCHIVES = "*.zip"
 SAMPLE_ROWS = 50_000
+# Row groups are what the lines of one archive are spread by when they are read back.
+STAGE_ROW_GROUP = 32 << 20
 _FILE_SCHEMA = (
     "source string, target_table string, member string, header string, status string, error string, "
     "member_bytes bigint, n_blocks bigint"
@@ -107,18 +109,23 @@ class ArchiveLoader(Loader):
             *load_log.KEY, F.lit(0).cast("bigint").alias("n_rows"),
             F.lit("columns differ from the table's").alias("problem"),
         )
-        parsed = [
-            parse_lines(self._lines(stage, target, h), h, self.csv).select("source", *pick(columns, h, "record"))
-            for h in accepted
-        ]
-        if not parsed:
+        if not accepted:
             return refused_files
-        rows = reduce(DataFrame.unionByName, parsed)
-        if damaged is not None:
-            rows = without(rows, damaged)
+
+        def rows_of(share: float) -> DataFrame:
+            """Parsed rows, or a share of them that is drawn before the parsing."""
+            parts = []
+            for header in accepted:
+                lines = self._lines(stage, target, header)
+                lines = lines if share == 1 else lines.sample(share, seed=1)
+                parts.append(parse_lines(lines, header, self.csv).select("source", *pick(columns, header, "record")))
+            rows = reduce(DataFrame.unionByName, parts)
+            return rows if damaged is None else without(rows, damaged)
+
+        rows = rows_of(1)
         counts = materialize(rows.groupBy("source").agg(F.count("*").alias("n_rows")), "counts")
         fixed = {name: data_type.simpleString() for name, data_type in declared.items()}
-        types, misfits = self._find_types(rows, columns, fixed, counts)
+        types, misfits = self._find_types(rows_of, columns, fixed, counts)
         checked = counts.withColumn("target_table", F.lit(target))
         if misfits is None:
             checked = checked.withColumn("problem", F.lit(None).cast("string"))
@@ -135,7 +142,7 @@ class ArchiveLoader(Loader):
         return read_or_empty(self.spark, f"{stage}/kind=line/{folder}", _LINE_SCHEMA)
 
     def _find_types(
-        self, rows: DataFrame, columns: list[str], declared: dict[str, str], counts: DataFrame
+        self, rows_of: Callable[[float], DataFrame], columns: list[str], declared: dict[str, str], counts: DataFrame
     ) -> tuple[dict[str, str], DataFrame | None]:
         """Types of the columns, and the files that do not fit those declared (or None).
 
@@ -145,7 +152,7 @@ class ArchiveLoader(Loader):
         """
         new = [c for c in columns if c not in declared] if self.csv.infer_schema else []
         total = counts.agg(F.sum("n_rows")).first()[0] or 0
-        some = rows if total <= SAMPLE_ROWS else rows.sample(SAMPLE_ROWS / total, seed=1)
+        some = rows_of(min(1, SAMPLE_ROWS / max(total, 1)))
         seen = _masks_by_name(column_types.column_masks(some, "source", _quoted(new)), new) if new else {}
         expected: dict[str, str | None] = {c: t for c, t in declared.items() if t != "string"}
         held = list(expected)
@@ -155,7 +162,7 @@ class ArchiveLoader(Loader):
         misfits = None
         if expected:
             names = list(expected)
-            masks = column_types.column_masks(rows, "source", _quoted(names), list(expected.values()))
+            masks = column_types.column_masks(rows_of(1), "source", _quoted(names), list(expected.values()))
             masks = materialize(masks, "masks")
             for name, mask in _masks_by_name(masks, names).items():
                 if name in seen:
@@ -201,7 +208,8 @@ def stage_lines(files: DataFrame, csv: CsvFormat, stage: str) -> None:
     spread = files.select("source", "target_table").repartition(archives.tasks_for(files))
     rows = archives.split_lines(archives.open_archives(spread, csv)).drop("line_no")
     with session_settings(files.sparkSession, {"spark.sql.maxConcurrentOutputFileWriters": "16"}):
-        rows.write.mode("overwrite").partitionBy("kind", "target_key", "header_key").parquet(stage)
+        writer = rows.write.mode("overwrite").option("parquet.block.size", STAGE_ROW_GROUP)
+        writer.partitionBy("kind", "target_key", "header_key").parquet(stage)
 
 
 def parse_lines(lines: DataFrame, header: list[str], csv: CsvFormat) -> DataFrame:
