@@ -36,10 +36,7 @@ def project_aliases(spark: SparkSession, sf_dir: str) -> DataFrame:
     renamed = table(spark, sf_dir, "orders").select(
         F.col("o_orderkey").alias("Номер заказа"), F.col("o_totalprice").alias("Сумма, руб с НДС")
     )
-    renamed.createOrReplaceTempView("quayside_project_aliases")
-    return spark.sql(
-        "SELECT `Номер заказа` AS order_no, `Сумма, руб с НДС` AS total_rub FROM quayside_project_aliases"
-    )
+    return renamed.selectExpr("`Номер заказа` AS order_no", "`Сумма, руб с НДС` AS total_rub")
 
 
 def filter_conjunction(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -6,10 +6,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quayside.bindings.common import (
-    EVENT_ARCHIVES_SQL, EVENT_TYPES, as_events, events_landing, land_archives, table, unique_name, write_archives,
+    EVENT_ARCHIVES_SQL, EVENT_TYPES, as_events, events_landing, land_archives, scratch_namespace, table, unique_name,
+    write_archives,
 )
 from quayside.functions import names
 from quayside.functions.measures import megabytes
+from quayside.operators.path_rewrite import write_text_objects
 from quayside.plans import load_log
 from quayside.plans.archive_load import ARCHIVES, ArchiveLoader, parse_lines
 from quayside.plans.loading import Tiers
@@ -78,6 +80,13 @@ def ingest_fan_in(spark: SparkSession, sf_dir: str) -> DataFrame:
     return as_events(loader.table("events"))
 
 
+def registered_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    loader = ArchiveLoader(spark, _tiers(spark, events_landing(spark, sf_dir)), table="events")
+    loader.run()
+    name = loader.register(scratch_namespace(spark, "bronze"), "events")
+    return spark.sql(f"SELECT event_type, count(*) AS n_events FROM {name} GROUP BY event_type")
+
+
 def ingest_fan_out(spark: SparkSession, sf_dir: str) -> DataFrame:
     landing = scratch_path(spark, "landing")
     events = table(spark, sf_dir, "events")
@@ -94,7 +103,7 @@ def ingest_rerun_idempotent(spark: SparkSession, sf_dir: str) -> DataFrame:
     return loader.table("events").agg(
         F.count("*").alias("n_rows"),
         F.countDistinct("event_id").alias("n_events"),
-        F.lit(second_run).alias("second_run"),
+        F.lit(second_run).cast("bigint").alias("second_run"),
     )
 
 
@@ -143,11 +152,13 @@ def _mixed_landing(spark: SparkSession, sf_dir: str) -> str:
     """``events`` by day, where the archives of some days lack what a load needs."""
     landing = scratch_path(spark, "landing")
     events = table(spark, sf_dir, "events").withColumn("name", F.date_format("ts", "'events'_yyyyMMdd"))
-    kind = F.dayofmonth("ts") % 4
-    land_archives(events.where(kind > 1), landing)
+    kind = F.dayofmonth("ts") % 5
+    land_archives(events.where(kind > 2), landing)
     lines = events.select("name", F.to_csv(F.struct("event_id")).alias("line"), kind.alias("kind"))
     write_archives(lines.where("kind = 0"), "event_id", landing, ending=".txt")
     write_archives(lines.where("kind = 1").groupBy("name").agg(F.lit("").alias("line")), "", landing)
+    broken = lines.where("kind = 2").groupBy("name").agg(F.lit("not an archive").alias("body"))
+    write_text_objects(broken.select(F.concat("name", F.lit(".zip")).alias("file_path"), "body"), landing, ".zip")
     return landing
 
 
@@ -173,6 +184,7 @@ QUERIES = {
     "already_loaded_files": already_loaded_files,
     "load_log_rows": load_log_rows,
     "ingest_fan_in": ingest_fan_in,
+    "registered_table": registered_table,
     "ingest_fan_out": ingest_fan_out,
     "ingest_rerun_idempotent": ingest_rerun_idempotent,
     "ingest_schema_merge": ingest_schema_merge,
@@ -193,6 +205,7 @@ ORACLES = {
                count(*) AS n_rows, true AS is_stamped
         FROM ({EVENT_ARCHIVES_SQL}) GROUP BY archive""",
     "ingest_fan_in": EVENTS_SQL,
+    "registered_table": "SELECT event_type, count(*) AS n_events FROM events GROUP BY event_type",
     "ingest_fan_out": "SELECT 'events_' || event_type AS target_table, count(*) AS n_rows FROM events GROUP BY event_type",
     "ingest_rerun_idempotent": """
         SELECT count(*) AS n_rows, count(DISTINCT event_id) AS n_events, CAST(0 AS BIGINT) AS second_run FROM events""",
@@ -206,12 +219,14 @@ ORACLES = {
     "stream_ingest": EVENTS_SQL,
     "classify_archives": """
         SELECT DISTINCT 'events_' || strftime(ts, '%Y%m%d') || '.zip' AS source_name,
-               CASE day(ts) % 4 WHEN 0 THEN 'no_csv' WHEN 1 THEN 'empty_csv' ELSE 'processed' END AS status,
-               CASE WHEN day(ts) % 4 > 0 THEN true END AS has_size
+               CASE day(ts) % 5 WHEN 0 THEN 'no_csv' WHEN 1 THEN 'empty_csv' WHEN 2 THEN 'failed'
+                                ELSE 'processed' END AS status,
+               CASE WHEN day(ts) % 5 IN (1, 3, 4) THEN true END AS has_size
         FROM events""",
     "run_summary": """
         SELECT count(DISTINCT CAST(ts AS DATE)) AS found, CAST(0 AS BIGINT) AS processed,
-               count(DISTINCT CAST(ts AS DATE)) AS skipped, CAST(0 AS BIGINT) AS failed,
-               count(DISTINCT CASE WHEN day(ts) % 4 > 1 THEN CAST(ts AS DATE) END) AS logged
+               count(DISTINCT CASE WHEN day(ts) % 5 <> 2 THEN CAST(ts AS DATE) END) AS skipped,
+               count(DISTINCT CASE WHEN day(ts) % 5 = 2 THEN CAST(ts AS DATE) END) AS failed,
+               count(DISTINCT CASE WHEN day(ts) % 5 > 2 THEN CAST(ts AS DATE) END) AS logged
         FROM events""",
 }

@@ -118,7 +118,7 @@ def _pages_as_objects(spark: SparkSession, sf_dir: str) -> str:
 def text_objects_containing(spark: SparkSession, sf_dir: str) -> DataFrame:
     objects = read_text_objects(spark, _pages_as_objects(spark, sf_dir), "*.json")
     page_id = F.regexp_extract("file_path", r"([0-9]+)\.json$", 1).cast("bigint").alias("page_id")
-    return containing(objects, NEEDLE).select(page_id, F.length("body").alias("n_chars"))
+    return containing(objects, NEEDLE).select(page_id, F.length("body").cast("bigint").alias("n_chars"))
 
 
 def path_rewrite_objects(spark: SparkSession, sf_dir: str) -> DataFrame:

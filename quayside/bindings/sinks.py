@@ -9,6 +9,7 @@ from quayside.bindings.common import scratch_namespace, table, unique_name
 from quayside.operators import tables
 from quayside.plans.load_log import ROW_SCHEMA
 from quayside.session import scratch_path
+from quayside.sources.columnar import read_parquet
 
 BUCKETS = 8
 ALL_TABLES = (
@@ -76,6 +77,15 @@ def _namespace_per_region(spark: SparkSession, sf_dir: str) -> str:
     return prefix
 
 
+def ensure_namespace(spark: SparkSession, sf_dir: str) -> DataFrame:
+    name = unique_name("placed")
+    location = scratch_path(spark, name)
+    for _ in range(2):
+        tables.ensure_namespace(spark, name, location)
+    tables.create_table(table(spark, sf_dir, "customer"), f"{name}.customer")
+    return read_parquet(spark, f"{location}/customer")
+
+
 def list_namespaces(spark: SparkSession, sf_dir: str) -> DataFrame:
     prefix = _namespace_per_region(spark, sf_dir)
     found = tables.list_namespaces(spark, f"{prefix}*")
@@ -121,7 +131,7 @@ def drop_table(spark: SparkSession, sf_dir: str) -> DataFrame:
         tables.drop_table(spark, f"{namespace}.region")
     left = tables.list_tables(spark, namespace).select("table_name")
     n_rows = spark.table(f"{namespace}.supplier").count()
-    return left.select("table_name", F.lit(n_rows).alias("n_rows"), F.lit(before).alias("n_rows_dropped"))
+    return left.select("table_name", F.lit(n_rows).cast("bigint").alias("n_rows"), F.lit(before).cast("bigint").alias("n_rows_dropped"))
 
 
 def table_exists(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -140,7 +150,7 @@ def table_location(spark: SparkSession, sf_dir: str) -> DataFrame:
     n_rows = spark.read.parquet(located.first()["location"]).count()
     return located.select(
         F.element_at(F.split("table_name", r"\."), -1).alias("table_name"),
-        F.col("location").endswith("supplier").alias("is_in_place"), F.lit(n_rows).alias("n_rows"),
+        F.col("location").endswith("supplier").alias("is_in_place"), F.lit(n_rows).cast("bigint").alias("n_rows"),
     )
 
 
@@ -151,6 +161,7 @@ QUERIES = {
     "parquet_roundtrip": parquet_roundtrip,
     "insert_select": insert_select,
     "bucketed_table": bucketed_table,
+    "ensure_namespace": ensure_namespace,
     "list_namespaces": list_namespaces,
     "list_tables": list_tables,
     "register_tables": register_tables,
@@ -174,6 +185,7 @@ ORACLES = {
     "bucketed_table": """
         SELECT c_custkey, c_name, count(o_orderkey) AS n_orders
         FROM customer LEFT JOIN orders ON c_custkey = o_custkey GROUP BY c_custkey, c_name""",
+    "ensure_namespace": "SELECT * FROM customer",
     "list_namespaces": "SELECT replace(lower(r_name), ' ', '_') AS namespace FROM region",
     "list_tables": _COUNTS_SQL,
     "register_tables": _COUNTS_SQL,

@@ -103,7 +103,7 @@ def laid_out(edges: DataFrame, keys: list[str], n_edges: int) -> Iterator[DataFr
     """
     spark = edges.sparkSession
     if n_edges <= EDGES_PER_BUCKET:
-        yield materialize(edges, "edges")
+        yield materialize(edges.repartition(spark.sparkContext.defaultParallelism), "edges")
         return
     buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-n_edges // EDGES_PER_BUCKET))
     buckets = min(buckets, MAX_BUCKETS)

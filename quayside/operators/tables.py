@@ -7,11 +7,13 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from quayside.sources.delimited import quote
 from quayside.sources.listing import path_exists
 
 DEFAULT_FORMAT = "parquet"
+PARTITIONS_PER_STATEMENT = 500
 
 
 def qualified(name: str) -> str:
@@ -99,8 +101,8 @@ def list_namespaces(spark: SparkSession, like: str = "*") -> DataFrame:
 
 
 def list_tables(spark: SparkSession, namespace: str) -> DataFrame:
-    """Tables of a namespace."""
-    return spark.sql(f"SHOW TABLES IN {qualified(namespace)}").select("namespace", F.col("tableName").alias("table_name"))
+    """Tables of a namespace, without the session's temporary views."""
+    return spark.sql(f"SHOW TABLES IN {qualified(namespace)}").where("NOT isTemporary").select("namespace", F.col("tableName").alias("table_name"))
 
 
 def register_tables(
@@ -122,6 +124,25 @@ def register_tables(
     return full_names
 
 
+def create_external(
+    spark: SparkSession, name: str, schema: T.StructType, partition: str, location: str, using: str = DEFAULT_FORMAT
+) -> None:
+    """Table over files that are there already, in folders named by one text column."""
+    columns = ", ".join(f"{quote(f.name)} {f.dataType.simpleString()}" for f in schema)
+    spark.sql(
+        f"CREATE TABLE {qualified(name)} ({columns}, {quote(partition)} STRING) USING {using} "
+        f"PARTITIONED BY ({quote(partition)}) LOCATION {_text(location)}"
+    )
+
+
+def add_partitions(spark: SparkSession, name: str, partition: str, values: list[str]) -> None:
+    """Make folders of a partitioned table visible."""
+    for start in range(0, len(values), PARTITIONS_PER_STATEMENT):
+        some = values[start : start + PARTITIONS_PER_STATEMENT]
+        parts = " ".join(f"PARTITION ({quote(partition)} = {_text(value)})" for value in some)
+        spark.sql(f"ALTER TABLE {qualified(name)} ADD IF NOT EXISTS {parts}")
+
+
 def row_counts(spark: SparkSession, tables: Mapping[str, str]) -> DataFrame:
     """``table_name, n_rows`` for label -> table name."""
     parts = [

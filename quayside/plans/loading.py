@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from quayside.operators import tables
 from quayside.plans import load_log
 from quayside.plans.load_log import LoadLog
 from quayside.sources.delimited import quote
@@ -128,6 +129,23 @@ class Loader:
         loads = self.log.processed().where(F.col("target_table") == target)
         return rows.join(loads.select("load_id").distinct(), "load_id", "left_semi")
 
+    def register(self, namespace: str, target: str) -> str:
+        """Make a table known to the catalog under ``namespace``; gives back its full name.
+
+        Only loads whose outcome is logged become partitions, so readers by name never see a load
+        that is still being written. To be called again after a run; no data is touched.
+        """
+        schema = self.table_schema(target)
+        if schema is None:
+            raise ValueError(f"nothing was loaded into {target}")
+        name = f"{namespace}.{target}"
+        tables.ensure_namespace(self.spark, namespace)
+        tables.drop_table(self.spark, name)
+        tables.create_external(self.spark, name, schema, "load_id", self.table_path(target))
+        loads = self.log.processed().where(F.col("target_table") == target).select("load_id").distinct()
+        tables.add_partitions(self.spark, name, "load_id", [row["load_id"] for row in loads.collect()])
+        return name
+
     def write_table(self, load_id: str, target: str, rows: DataFrame) -> None:
         """Put a load's rows in place; doing it again replaces them."""
         rows.write.mode("overwrite").parquet(f"{self.table_path(target)}/load_id={load_id}")

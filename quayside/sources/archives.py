@@ -30,8 +30,6 @@ BLOCK_SCHEMA = (
     "first_line_no bigint, text string, member string, header string, status string, "
     "error string, member_bytes bigint, n_blocks bigint"
 )
-LINE_COLUMNS = ["source", "line_no", "line"]
-FILE_COLUMNS = ["source", "target_table", "member", "header", "status", "error", "member_bytes", "n_blocks"]
 
 
 @dataclass(frozen=True)
@@ -160,7 +158,7 @@ def read_archive(source: str, csv_format: CsvFormat) -> Iterator[dict]:
         store, path = open_store(source, csv_format.connection)
         with store.open_input_file(path) as handle:
             for block in _read_member(handle, source, csv_format, found):
-                yield {"kind": "line", "header_key": found["header_key"], **block}
+                yield {"kind": "line", "header_key": found["header_key"], "member": found["member"], **block}
                 n_blocks += 1
     except Exception as error:  # one bad archive must not stop the others
         found.update(status="failed", error=f"{type(error).__name__}: {error}"[:500])
@@ -216,4 +214,4 @@ def scan_archives(sources: DataFrame, csv_format: CsvFormat) -> DataFrame:
     those out by the file's status, which needs the whole scan first.
     """
     opened = open_archives(sources, csv_format).where("kind = 'line'")
-    return split_lines(opened).select("source", "line_no", "line")
+    return split_lines(opened).select("source", "member", "line_no", "line")
