@@ -56,7 +56,7 @@ def write_archives(lines: DataFrame, header: str, landing: str, ending: str = ".
         store.create_dir(folder, recursive=True)
         rows = (row for batch in batches for row in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()))
         for name, group in itertools.groupby(rows, key=lambda row: row[0]):
-            part = f"{folder}/_{name}.part"
+            part = f"{folder}/_{name}.{uuid.uuid4().hex}.part"
             with (
                 store.open_output_stream(part) as handle,
                 zipfile.ZipFile(handle, "w", zipfile.ZIP_DEFLATED) as archive,

@@ -13,6 +13,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from quayside.functions import column_types, names
 from quayside.plans import load_log
@@ -72,15 +73,21 @@ class ArchiveLoader(Loader):
         stage_lines(files, self.csv, stage)
         opened = read_or_empty(self.spark, f"{stage}/kind=file", _FILE_SCHEMA)
         layouts: dict[str, list[list[str]]] = {}
-        found = opened.where("header IS NOT NULL").groupBy("target_table", "header").agg(F.min("source").alias("s"))
+        good = opened.where(F.col("status") == load_log.PROCESSED)
+        found = good.groupBy("target_table", "header").agg(F.min("source").alias("s"))
         for row in found.orderBy("target_table", "s").collect():
             layouts.setdefault(row["target_table"], []).append(json.loads(row["header"]))
         damaged = opened.where((F.col("status") == load_log.FAILED) & (F.col("n_blocks") > 0))
         has_damaged = bool(damaged.take(1))
 
+        latest = self.latest_loads(but=load_id)
+
         def load_target(target: str, headers: list[list[str]]) -> DataFrame:
-            of_target = opened.where(F.col("target_table") == target)
-            return self._load_target(load_id, stage, target, headers, of_target, damaged if has_damaged else None)
+            existing = self.load_schema(target, latest.get(target))
+            of_target = good.where(F.col("target_table") == target)
+            return self._load_target(
+                load_id, stage, target, existing, headers, of_target, damaged if has_damaged else None
+            )
 
         profiles = for_each_table(load_target, layouts.items())
         outcome = opened.select("source", "target_table", "status", "error")
@@ -97,11 +104,10 @@ class ArchiveLoader(Loader):
         )
 
     def _load_target(
-        self, load_id: str, stage: str, target: str, headers: list[list[str]], opened: DataFrame,
-        damaged: DataFrame | None,
+        self, load_id: str, stage: str, target: str, existing: T.StructType | None, headers: list[list[str]],
+        opened: DataFrame, damaged: DataFrame | None,
     ) -> DataFrame:
         """Write one table of a load; give back ``source, target_table, n_rows, problem``."""
-        existing = self.table_schema(target, before=load_id)
         declared = {} if existing is None else {f.name: f.dataType for f in existing if f.name != SOURCE_COLUMN}
         accepted, refused = accept_layouts(headers, list(declared), self.merge_schema)
         columns = merged_columns(list(declared), accepted)

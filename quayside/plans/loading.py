@@ -105,19 +105,25 @@ class Loader:
         """Folder of a target table."""
         return f"{self.tiers.warehouse}/{target}"
 
-    def table_schema(self, target: str, before: str | None = None) -> T.StructType | None:
-        """Columns of a table so far, without the partition column; None when there is none.
+    def latest_loads(self, but: str | None = None) -> dict[str, str]:
+        """Latest load of each table; a load that is run again must not ask itself, so it is left out."""
+        loads = self.log.processed().where(F.lit(True) if but is None else F.col("load_id") != but)
+        latest = F.max_by("load_id", F.struct("loaded_at", "load_id"))
+        return {r["target_table"]: r["load_id"] for r in
+                loads.groupBy("target_table").agg(latest.alias("load_id")).collect()}
+
+    def load_schema(self, target: str, load_id: str | None) -> T.StructType | None:
+        """Columns of a table as a load wrote them, without the partition column."""
+        if load_id is None:
+            return None
+        return self.spark.read.parquet(f"{self.table_path(target)}/load_id={load_id}").schema
+
+    def table_schema(self, target: str) -> T.StructType | None:
+        """Columns of a table so far; None when there is none.
 
-        Every load writes all columns the table has by then, so its latest load tells. A load
-        that is run again must not ask itself: ``before`` leaves it out.
+        Every load writes all columns the table has by then, so its latest load tells.
         """
-        loads = self.log.processed().where(F.col("target_table") == target)
-        if before is not None:
-            loads = loads.where(F.col("load_id") != before)
-        latest = loads.agg(F.max_by("load_id", F.struct("loaded_at", "load_id"))).first()[0]
-        if latest is None:
-            return None
-        return self.spark.read.parquet(f"{self.table_path(target)}/load_id={latest}").schema
+        return self.load_schema(target, self.latest_loads().get(target))
 
     def table(self, target: str) -> DataFrame:
         """Rows of a table; only loads whose outcome is logged are seen."""

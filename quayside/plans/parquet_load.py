@@ -63,7 +63,7 @@ class ParquetLoader(Loader):
             .orderBy(F.col("sources")[0])
             .collect()
         )
-        existing = self.table_schema(self.target, before=load_id)
+        existing = self.load_schema(self.target, self.latest_loads(but=load_id).get(self.target))
         columns = [] if existing is None else [(f.name, f.dataType) for f in existing if f.name != SOURCE_COLUMN]
         declared = {name.lower(): data_type.simpleString() for name, data_type in columns}
         fixed = set(declared)

@@ -110,6 +110,17 @@ def test_archive_damaged_part_way_gives_no_rows(spark, area, rows):
     assert loader.table("t").count() == 50
 
 
+def test_columns_of_a_damaged_archive_are_not_taken(spark, area):
+    area.csv("good.zip", "id\n1\n")
+    area.put("bad.zip", ("d.csv", "id,extra\n" + "1,x\n" * 2000), compress=zipfile.ZIP_STORED)
+    content = bytearray((area.raw / "bad.zip").read_bytes())
+    content[len(content) // 2] ^= 1
+    (area.raw / "bad.zip").write_bytes(bytes(content))
+    loader = ArchiveLoader(spark, area.tiers, CsvFormat(block_bytes=512), table="t")
+    assert counts(loader.run())["failed"] == 1
+    assert loader.table("t").columns == ["load_id", "id", "_source"]
+
+
 def test_undecodable_text_fails_that_file_only(spark, area, rows):
     area.csv("a.zip", "id,v\n1,x\n")
     area.csv("b.zip", b"id,v\n2,\xff\xfe\n")
