@@ -8,7 +8,7 @@ import zipfile
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quayside.operators.tables import ensure_namespace
@@ -73,22 +73,26 @@ def write_archives(lines: DataFrame, header: str, landing: str, ending: str = ".
     ordered.mapInArrow(write, "name string").write.format("noop").mode("overwrite").save()
 
 
+def with_archive_names(events: DataFrame, group: Column) -> DataFrame:
+    """Add the ``name`` of the archive each row goes into: one per group and million rows of it."""
+    labelled = events.withColumn("group", group)
+    parts = labelled.groupBy("group").agg(F.ceil(F.count("*") / F.lit(ROWS_PER_ARCHIVE)).alias("parts"))
+    part = F.pmod(F.col("event_id"), F.col("parts")).cast("string")
+    named = labelled.join(parts, "group").withColumn("name", F.concat_ws("_", "group", part))
+    return named.drop("group", "parts")
+
+
+def events_by_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``events`` with the ``name`` of the archive of its day."""
+    return with_archive_names(table(spark, sf_dir, "events"), F.date_format("ts", "'events'_yyyyMMdd"))
+
+
 def events_landing(spark: SparkSession, sf_dir: str) -> str:
-    """Folder with ``events`` as zipped CSV files, one per day and per million rows of it."""
-    key = (spark.sparkContext.applicationId, sf_dir, "days")
+    """Folder with ``events`` as zipped CSV files by day; made once per application."""
+    key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _landed:
-        events = table(spark, sf_dir, "events")
-        parts = events.groupBy(F.to_date("ts").alias("day")).agg(
-            F.ceil(F.count("*") / F.lit(ROWS_PER_ARCHIVE)).alias("parts")
-        )
-        split = events.withColumn("day", F.to_date("ts")).join(parts, "day")
-        name = F.concat_ws(
-            "_", F.lit("events"), F.date_format("day", "yyyyMMdd"),
-            F.pmod(F.col("event_id"), F.col("parts")).cast("string"),
-        )
-        named = split.withColumn("name", name).drop("day", "parts")
         landing = scratch_path(spark, "landing")
-        land_archives(named, landing)
+        land_archives(events_by_day(spark, sf_dir), landing)
         _landed[key] = landing
     return _landed[key]
 

@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quayside.bindings.common import (
-    EVENT_ARCHIVES_SQL, EVENT_TYPES, as_events, events_landing, land_archives, scratch_namespace, table, unique_name,
-    write_archives,
+    EVENT_ARCHIVES_SQL, EVENT_TYPES, as_events, events_by_day, events_landing, land_archives, scratch_namespace, table,
+    unique_name, with_archive_names, write_archives,
 )
 from quayside.functions import names
 from quayside.functions.measures import megabytes
@@ -90,10 +90,11 @@ def registered_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 def ingest_fan_out(spark: SparkSession, sf_dir: str) -> DataFrame:
     landing = scratch_path(spark, "landing")
     events = table(spark, sf_dir, "events")
-    land_archives(events.withColumn("name", F.concat(F.lit("Évents-"), "event_type")), landing)
+    land_archives(with_archive_names(events, F.concat(F.lit("Évents-"), "event_type")), landing)
     loader = ArchiveLoader(spark, _tiers(spark, landing))
     loader.run()
-    return loader.log.processed().groupBy("target_table").agg(F.sum("n_rows").alias("n_rows"))
+    kind = F.regexp_replace("target_table", "_[0-9]+$", "").alias("target_table")
+    return loader.log.processed().groupBy(kind).agg(F.sum("n_rows").alias("n_rows"))
 
 
 def ingest_rerun_idempotent(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -108,7 +109,7 @@ def ingest_rerun_idempotent(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def ingest_schema_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = table(spark, sf_dir, "events").withColumn("name", F.date_format("ts", "'events'_yyyyMMdd"))
+    events = events_by_day(spark, sf_dir)
     early = F.col("ts") < F.lit(LOADED_UNTIL).cast("timestamp_ntz")
     landing = scratch_path(spark, "landing")
     land_archives(events.where(early).drop("props"), landing)
@@ -151,7 +152,7 @@ def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _mixed_landing(spark: SparkSession, sf_dir: str) -> str:
     """``events`` by day, where the archives of some days lack what a load needs."""
     landing = scratch_path(spark, "landing")
-    events = table(spark, sf_dir, "events").withColumn("name", F.date_format("ts", "'events'_yyyyMMdd"))
+    events = events_by_day(spark, sf_dir)
     kind = F.dayofmonth("ts") % 5
     land_archives(events.where(kind > 2), landing)
     lines = events.select("name", F.to_csv(F.struct("event_id")).alias("line"), kind.alias("kind"))
@@ -217,16 +218,16 @@ ORACLES = {
                event_type, CAST(value AS VARCHAR) AS value, props FROM events""",
     "ingest_parquet": "SELECT o_orderkey, o_custkey, o_totalprice, o_orderdate, o_orderpriority, o_orderstatus FROM orders",
     "stream_ingest": EVENTS_SQL,
-    "classify_archives": """
-        SELECT DISTINCT 'events_' || strftime(ts, '%Y%m%d') || '.zip' AS source_name,
+    "classify_archives": f"""
+        SELECT DISTINCT archive || '.zip' AS source_name,
                CASE day(ts) % 5 WHEN 0 THEN 'no_csv' WHEN 1 THEN 'empty_csv' WHEN 2 THEN 'failed'
                                 ELSE 'processed' END AS status,
                CASE WHEN day(ts) % 5 IN (1, 3, 4) THEN true END AS has_size
-        FROM events""",
-    "run_summary": """
-        SELECT count(DISTINCT CAST(ts AS DATE)) AS found, CAST(0 AS BIGINT) AS processed,
-               count(DISTINCT CASE WHEN day(ts) % 5 <> 2 THEN CAST(ts AS DATE) END) AS skipped,
-               count(DISTINCT CASE WHEN day(ts) % 5 = 2 THEN CAST(ts AS DATE) END) AS failed,
-               count(DISTINCT CASE WHEN day(ts) % 5 > 2 THEN CAST(ts AS DATE) END) AS logged
-        FROM events""",
+        FROM ({EVENT_ARCHIVES_SQL})""",
+    "run_summary": f"""
+        SELECT count(DISTINCT archive) AS found, CAST(0 AS BIGINT) AS processed,
+               count(DISTINCT archive) FILTER (day(ts) % 5 <> 2) AS skipped,
+               count(DISTINCT archive) FILTER (day(ts) % 5 = 2) AS failed,
+               count(DISTINCT archive) FILTER (day(ts) % 5 > 2) AS logged
+        FROM ({EVENT_ARCHIVES_SQL})""",
 }
