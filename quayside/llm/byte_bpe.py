@@ -4,15 +4,17 @@ from __future__ import annotations
 
 import base64
 import functools
+import hashlib
 import heapq
+import unicodedata
 from collections.abc import Iterator, Sequence
 from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 import regex
+import tiktoken
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
@@ -94,7 +96,7 @@ class MergeReplay:
         while heap:
             rank = heapq.heappop(heap)
             lists = index.pop(rank)
-            at = lists[0] if len(lists) == 1 else np.unique(np.concatenate(lists))
+            at = np.unique(lists[0] if len(lists) == 1 else np.concatenate(lists))
             at = at[pair[at] == rank]
             if not len(at):
                 continue
@@ -162,21 +164,37 @@ def replay_of(path: str) -> MergeReplay:
 
 
 @functools.cache
-def _known(path: str, pattern: str) -> dict[str, list[int]]:
-    return {}
+def _known(path: str, pattern: str) -> tuple[dict[str, list[int]], set[str], set[str]]:
+    """Ids of known words; characters met; those of them that this Python's tables don't know."""
+    return {}, set(), set()
+
+
+@functools.cache
+def _library(path: str, pattern: str) -> tiktoken.Encoding:
+    return tiktoken.Encoding("file", pat_str=pattern, mergeable_ranks=replay_of(path).ranks, special_tokens={})
 
 
 def encode_texts(texts: Sequence[str], path: str, pattern: str) -> Iterator[list[int]]:
-    """Ids of each text. Words not met before by this worker are encoded together."""
-    known, find = _known(path, pattern), regex.compile(pattern).findall
+    """Ids of each text. Words not met before by this worker are encoded together.
+
+    Libraries differ in the newest characters that they know as letters. A text with one that is unassigned
+    to Python's tables is left to the tiktoken library as a whole.
+    """
+    (known, met, newest), find = _known(path, pattern), regex.compile(pattern).findall
     words = [find(text) for text in texts]
     new = list(set(chain.from_iterable(words)).difference(known))
     if len(known) + len(new) > KNOWN_WORDS:
         known.clear()
         new = list(set(chain.from_iterable(words)))
     known.update(zip(new, replay_of(path).encode([w.encode() for w in new])))
-    for own in words:
-        yield list(chain.from_iterable(map(known.__getitem__, own)))
+    characters = set("".join(new)).difference(met)
+    met |= characters
+    newest.update(c for c in characters if unicodedata.category(c) == "Cn")
+    for text, own in zip(texts, words):
+        if newest and not newest.isdisjoint(text):
+            yield _library(path, pattern).encode_ordinary(text)
+        else:
+            yield list(chain.from_iterable(map(known.__getitem__, own)))
 
 
 def encode_documents(docs: DataFrame, path: str, pattern: str) -> DataFrame:
@@ -224,8 +242,6 @@ def digest_documents(docs: DataFrame, path: str, pattern: str) -> DataFrame:
     The same as ``encode_documents`` and ``decode_documents`` one after the other, in one pass, so that
     the ids, larger than the texts, never leave the task.
     """
-    import hashlib
-
     schema = spark_schema([
         ("doc_id", docs.schema["doc_id"].dataType), ("n_tokens", T.LongType()),
         ("ids_sha256", T.StringType()), ("decoded_sha256", T.StringType()),

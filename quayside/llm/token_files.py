@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from quayside.llm.common import arrow_batch, slices, spark_schema, texts_of
-from quayside.llm.word_ids import word_ids
+from quayside.llm.word_ids import tokenizer_of, word_ids
 from quayside.session import scratch_path
 from quayside.sources.storage import open_store
 
@@ -122,10 +122,11 @@ def find_in_bucket(data: bytes, high: np.ndarray, low: np.ndarray) -> tuple[np.n
 
 @dataclass(frozen=True)
 class TokenFiles:
-    """Where a written set lies: ``ids-<shard>.bin`` (raw ids), ``shards`` and ``index`` (tables)."""
+    """Where a written set lies: ``ids-<shard>.bin`` (raw ids of ``width`` bytes), ``shards`` and ``index`` (tables)."""
 
     path: str
     buckets: int
+    width: int
 
 
 def _hashes(doc_id: str, copy: str) -> list[Column]:
@@ -136,8 +137,9 @@ def write_token_files(docs: DataFrame, tokenizer: str, end_id: int = 1, path: st
     """Encode texts, end each with ``end_id``, and write the ids in ascending doc_id order.
 
     Documents are dealt out by ranges of doc_id; a task encodes its range and streams one raw file of
-    little-endian 32-bit ids (written aside and renamed when whole, so a repeated task does no harm). Only
-    places go on: (shard, first id, number of ids) by key, into a table of perfect hash buckets.
+    little-endian ids (written aside and renamed when whole, so a repeated task does no harm). An id takes
+    two bytes if the vocabulary has room in them, else four. Only places go on: (shard, first id, number
+    of ids) by key, into a table of perfect hash buckets.
 
     The key is (doc_id, copy), copy counting rows of one doc_id from 0; a null doc_id is a key before all
     others. A null or empty text is the end id alone. Other columns are not read; no rows, no files.
@@ -149,7 +151,7 @@ def write_token_files(docs: DataFrame, tokenizer: str, end_id: int = 1, path: st
         ("doc_id", kind), ("copy", T.LongType()), ("shard", T.IntegerType()), ("offset", T.LongType()), ("n", T.LongType())
     ])
     arrow = to_arrow_schema(schema)
-    end = np.array([end_id], "<u4").tobytes()
+    width = 2 if max(tokenizer_of(tokenizer).get_vocab_size(), end_id + 1) <= 1 << 16 else 4
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = word_ids(tokenizer)
@@ -163,9 +165,10 @@ def write_token_files(docs: DataFrame, tokenizer: str, end_id: int = 1, path: st
                 keys = piece.column("doc_id").to_pylist()
                 for key, ids in zip(keys, encoder.encode([t or "" for t in texts_of(piece)])):
                     handle = handle or store.open_output_stream(part)
-                    handle.write(ids + end)
+                    own = np.append(np.frombuffer(ids, np.uint32), np.uint32(end_id))
+                    handle.write(own.astype(f"<u{width}").tobytes())
                     copy = copy + 1 if key == last else 0
-                    last, n = key, len(ids) // 4 + 1
+                    last, n = key, len(own)
                     for name, value in zip(arrow.names, (key, copy, shard, at, n)):
                         rows[name].append(value)
                     at += n
@@ -193,7 +196,7 @@ def write_token_files(docs: DataFrame, tokenizer: str, end_id: int = 1, path: st
     hashed = places.select(*_hashes("doc_id", "copy"), "shard", "offset", "n")
     hashed = hashed.withColumn("bucket", F.pmod("high", F.lit(buckets)))
     hashed.groupBy("bucket").applyInPandas(build, "bucket long, data binary").write.parquet(f"{path}/index")
-    return TokenFiles(path, buckets)
+    return TokenFiles(path, buckets, width)
 
 
 def read_by_key(spark: SparkSession, files: TokenFiles, keys: DataFrame) -> DataFrame:
@@ -236,7 +239,7 @@ def _read(spark: SparkSession, files: TokenFiles, keys: DataFrame, field: str, u
         ("doc_id", kind), ("copy", T.LongType()), ("start", T.LongType()), ("n", T.LongType())
     ]).fields, *T._parse_datatype_string(field).fields])
     arrow = to_arrow_schema(schema)
-    path, name = files.path, schema.fields[-1].name
+    path, width, name = files.path, files.width, schema.fields[-1].name
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         store, folder = open_store(path)
@@ -250,9 +253,10 @@ def _read(spark: SparkSession, files: TokenFiles, keys: DataFrame, field: str, u
                         handle.close()
                     shard = row["shard"]
                     handle = store.open_input_file(f"{folder}/ids-{shard:08d}.bin")
-                raw = handle.read_at(4 * row["n"], 4 * row["offset"])
-                if len(raw) != 4 * row["n"]:
+                raw = handle.read_at(width * row["n"], width * row["offset"])
+                if len(raw) != width * row["n"]:
                     raise OSError(f"shard {shard} ends before {row}")
+                raw = np.frombuffer(raw, f"<u{width}").astype("<u4").tobytes()
                 values = (row["doc_id"], row["copy"], row["start"] + row["offset"], row["n"], use(raw))
                 for c, value in zip(arrow.names, values):
                     rows[c].append(value)
