@@ -15,23 +15,28 @@ def _lowest(edges: DataFrame) -> DataFrame:
     return materialize(lows.select("u", F.least("u", "low").alias("low"), "n"), "lows")
 
 
-def large_star(edges: DataFrame) -> DataFrame:
+def large_star(edges: DataFrame, count: int) -> DataFrame:
     """Each neighbour above u is linked with u's lowest neighbour."""
     both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    linked = attach(both, _lowest(both), ["u"], "n", 2 * edges.count()).where(F.col("v") > F.col("u"))
+    linked = attach(both, _lowest(both), ["u"], "n", 2 * count).where(F.col("v") > F.col("u"))
     return linked.select(F.col("v").alias("u"), F.col("low").alias("v")).distinct()
 
 
-def small_star(edges: DataFrame) -> DataFrame:
+def small_star(edges: DataFrame, count: int) -> DataFrame:
     """u and each neighbour below it are linked with the lowest of these."""
     down = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
     lows = _lowest(down)
-    linked = attach(down, lows, ["u"], "n", edges.count()).select(F.col("v").alias("u"), F.col("low").alias("v"))
+    linked = attach(down, lows, ["u"], "n", count).select(F.col("v").alias("u"), F.col("low").alias("v"))
     return linked.unionByName(lows.select("u", F.col("low").alias("v"))).where(F.col("u") != F.col("v")).distinct()
 
 
-def _state(edges: DataFrame):
-    return edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
+def _are_stars(edges: DataFrame) -> bool:
+    """Whether every u has one v and no v is a u: then nothing is left to do, as each v is its star's lowest."""
+    roles = edges.select(F.col("u").alias("id"), F.lit(1).alias("low"), F.lit(0).alias("top")).unionByName(
+        edges.select(F.col("v").alias("id"), F.lit(0).alias("low"), F.lit(1).alias("top"))
+    )
+    parts = roles.groupBy("id").agg(F.sum("low").alias("low"), F.max("top").alias("top"))
+    return parts.where((F.col("low") > 1) | ((F.col("low") > 0) & (F.col("top") > 0))).isEmpty()
 
 
 def components(edges: DataFrame, u: str = "u", v: str = "v") -> DataFrame:
@@ -40,16 +45,12 @@ def components(edges: DataFrame, u: str = "u", v: str = "v") -> DataFrame:
     Edges may repeat, point either way or lead to their own start; edges with a null end are left out, as
     are vertices whose only edge is to themselves. Each half step is written to the shared folder, so
     neither lineage nor a lost executor costs more than one; rows of a vertex with very many edges stay
-    where they are (``attach``). Ends when a whole step changes nothing.
+    where they are (``attach``). Ends when only stars are left.
     """
     pairs = edges.select(F.greatest(u, v).alias("u"), F.least(u, v).alias("v"), (F.col(u) != F.col(v)).alias("far"))
     now = materialize(pairs.where("far").select("u", "v").distinct(), "edges")
-    before = _state(now)
-    while before[0]:
-        now = materialize(large_star(now), "large-star")
-        now = materialize(small_star(now), "small-star")
-        if (after := _state(now)) == before:
-            break
-        before = after
+    while not _are_stars(now):
+        now = materialize(large_star(now, now.count()), "large-star")
+        now = materialize(small_star(now, now.count()), "small-star")
     centres = now.select(F.col("v").alias("id"), F.col("v").alias("component")).distinct()
     return now.select(F.col("u").alias("id"), F.col("v").alias("component")).unionByName(centres)

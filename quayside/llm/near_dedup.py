@@ -33,8 +33,6 @@ class MinHash:
     bands: int = 32
     rows: int = 4
     seed: int = 1
-    #: Pivots of each band bucket that its members are held against before all that is still apart is.
-    rounds: int = 3
     #: Members of a bucket that one task compares with as many others.
     tile: int = 1024
 
@@ -184,19 +182,17 @@ def verified(pairs: DataFrame, minima_of: DataFrame, sets: DataFrame, plan: MinH
     return full.select("a", "b", "x", "y").mapInArrow(reach, schema)
 
 
-def _across(members: DataFrame, plan: MinHash) -> DataFrame:
-    """All pairs of a bucket's members that are in different components and whose minima agree enough.
+def _across(members: DataFrame, opened: DataFrame, named: DataFrame, plan: MinHash) -> DataFrame:
+    """All pairs of an open bucket that are in different components and whose minima agree enough.
 
-    ``members`` (key, id, component, minima) of open buckets. A bucket of n members is dealt to tiles of
-    ``plan.tile`` members against as many, so a task holds two of these at a time.
+    A bucket of n members is dealt to tiles of ``plan.tile`` members against as many, so a task holds two of
+    these at a time. A pair that meets in several buckets comes from that of its first common band.
     """
-    counts = members.groupBy("key").agg(F.count("*").alias("n"))
-    counts = materialize(counts.withColumn("parts", F.ceil(F.col("n") / plan.tile)), "bucket-sizes")
-    dealt = attach(members, counts, ["key"], "n", members.count()).withColumn(
-        "part", F.pmod(F.xxhash64("id", F.lit(plan.seed)), F.col("parts"))
-    )
+    rows = attach(members, opened, ["key"], "n", members.count()).join(named, "id")
+    dealt = rows.withColumn("part", F.pmod(F.xxhash64("id", F.lit(plan.seed)), F.col("parts")))
     tiles = dealt.select(
-        "key", "id", "component", "minima", "part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("other")
+        "key", "id", "component", "minima", "bands", "part",
+        F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("other"),
     )
     tiles = tiles.withColumns({"low": F.least("part", "other"), "high": F.greatest("part", "other")})
     least = plan.least_alike()
@@ -209,6 +205,8 @@ def _across(members: DataFrame, plan: MinHash) -> DataFrame:
         part, high = tile.column("part").to_numpy(), tile.column("high")[0].as_py()
         low = tile.column("low")[0].as_py()
         values = np.frombuffer(b"".join(tile.column("minima").to_pylist()), np.uint8).reshape(len(ids), -1)
+        bands = np.stack(tile.column("bands").to_pylist())
+        earlier = bands[:, : int((bands == tile.column("key")[0].as_py()).any(axis=0).argmax())]
         left, right = np.flatnonzero(part == low), np.flatnonzero(part == high)
         a, b = [], []
         for i in left.tolist():
@@ -216,6 +214,7 @@ def _across(members: DataFrame, plan: MinHash) -> DataFrame:
             apart = apart[apart > i] if low == high else apart
             if len(apart):
                 near = apart[(values[apart] == values[i]).sum(axis=1) >= least]
+                near = near[~(earlier[near] == earlier[i]).any(axis=1)]
                 a.append(np.full(len(near), ids[i]))
                 b.append(ids[near])
         found = [np.concatenate(x) if x else np.zeros(0, ids.dtype) for x in (a, b)]
@@ -234,11 +233,10 @@ def near_duplicates(docs: DataFrame, plan: MinHash = MinHash()) -> DataFrame:
     """doc_id, n_shingles, component_id (smallest doc_id it reaches by links) and kept (it is that one), per row.
 
     Texts of one shingle set are one class and go on as their smallest doc_id, so copies cost no pairs.
-    Classes that share a band key meet in a bucket. In each round all members that are not yet connected
-    with a bucket's pivot, another one each round, are verified against it; then whatever pairs of
-    a bucket are still in different components are compared, in tiles. So no link between components is
-    lost that banding finds, and pairs within a component are not counted out. Verified links alone
-    join components.
+    Classes that share a band key meet in a bucket. First all members are verified against the bucket's
+    first; then whatever pairs of a bucket are still in different components are compared, in tiles. So no
+    link between components is lost that banding finds, and pairs within a component are not counted out.
+    Verified links alone join components.
 
     Null, empty and blank texts have an empty set: no links, a component of their own. A text of fewer words
     than a shingle is one shingle. Rows of one doc_id are one vertex; a null doc_id has no links, a
@@ -253,48 +251,34 @@ def near_duplicates(docs: DataFrame, plan: MinHash = MinHash()) -> DataFrame:
 
     banded = classes.select("id", F.explode("bands").alias("key"))
     buckets = banded.groupBy("key").agg(F.count("*").alias("n"), F.min("id").alias("first"), F.max("id").alias("last"))
-    buckets = materialize(buckets.where(F.col("first") < F.col("last")).select("key", "n"), "buckets")
+    buckets = materialize(buckets.where(F.col("first") < F.col("last")).select("key", "n", "first"), "buckets")
     members = attach(banded, buckets, ["key"], "n", banded.count()).select("key", "id")
     members = materialize(members, "members")
     linked = members.select("id").distinct()
-    minima_of = classes.groupBy("id").agg(F.first("minima").alias("minima")).join(linked, "id", "left_semi")
+    minima_of = classes.groupBy("id").agg(F.first("minima").alias("minima"), F.first("bands").alias("bands"))
+    minima_of = minima_of.join(linked, "id", "left_semi")
     minima_of = materialize(minima_of, "minima")
     texts = docs.join(linked.select(F.col("id").alias("doc_id")), "doc_id", "left_semi")
     sets = materialize(shingle_sets(texts, plan).dropDuplicates(["id"]), "sets")
 
-    links = tested = None
-    where = members.select(F.col("id"), F.col("id").alias("component")).distinct()
-    for number in range(plan.rounds + 1):
-        # Each id has one row per band at most, so this join is even.
-        placed = materialize(members.join(where, "id"), "placed")
-        pivot = F.min_by(F.struct("id", "component"), F.xxhash64("id", F.lit(number)))
-        state = placed.groupBy("key").agg(
-            F.count("*").alias("n"), F.min("component").alias("least"), F.max("component").alias("most"), pivot.alias("pivot")
-        )
-        # Two members are compared in the first round; there is nothing more to such a bucket.
-        some = (F.col("least") < F.col("most")) & (F.lit(number == 0) | (F.col("n") > 2))
-        opened = materialize(state.where(some).select("key", "n", "pivot"), "open")
-        if opened.isEmpty():
-            break
-        waiting = attach(placed, opened, ["key"], "n", placed.count())
-        if number < plan.rounds:
-            apart = waiting.where(F.col("component") != F.col("pivot.component"))
-            pairs = apart.select(F.least("id", "pivot.id").alias("a"), F.greatest("id", "pivot.id").alias("b")).distinct()
-        else:
-            waiting = materialize(waiting.select("key", "id", "component").join(minima_of, "id"), "waiting")
-            pairs = _across(waiting, plan)
-        if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        pairs = materialize(pairs, "candidates")
-        tested = pairs if tested is None else tested.unionByName(pairs)
-        new = materialize(verified(pairs, minima_of, sets, plan), "links")
-        links = new if links is None else links.unionByName(new)
-        found = materialize(components(links, "a", "b"), "components")
-        where = members.select("id").distinct().join(found, "id", "left").select(
-            "id", F.coalesce("component", "id").alias("component")
-        )
-
-    named = classes.select("h1", "h2", "id", "copies").join(where, "id", "left").select(
+    # Round one: every member against its bucket's first; that is all there is to a bucket of two.
+    shared = attach(members, buckets, ["key"], "n", members.count())
+    pairs = shared.where(F.col("id") != F.col("first")).select(F.col("first").alias("a"), F.col("id").alias("b")).distinct()
+    tested = materialize(pairs, "candidates")
+    links = verified(tested, minima_of, sets, plan)
+    found = materialize(components(links, "a", "b"), "components")
+    # Round two: what larger buckets still hold apart. Each id has one row per band at most, so the joins are even.
+    named = linked.join(found, "id", "left").select("id", F.coalesce("component", "id").alias("component"))
+    named = materialize(named.join(minima_of, "id"), "named")
+    larger = attach(members, buckets.where(F.col("n") > 2), ["key"], "n", members.count()).join(named, "id")
+    state = larger.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("n"))
+    opened = state.where(F.col("low") < F.col("high")).select("key", "n", F.ceil(F.col("n") / plan.tile).alias("parts"))
+    pairs = _across(members, materialize(opened, "open"), named, plan).join(tested, ["a", "b"], "left_anti")
+    more = verified(materialize(pairs, "candidates"), minima_of, sets, plan)
+    joined = found.select(F.col("id").alias("a"), F.col("component").alias("b")).unionByName(more)
+    found = materialize(components(joined, "a", "b"), "components")
+
+    named = classes.select("h1", "h2", "id", "copies").join(found, "id", "left").select(
         "h1", "h2", "copies", F.coalesce("component", "id").alias("component_id")
     )
     named = materialize(named, "class-components")
