@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -9,6 +10,20 @@ from quayside.llm.common import attach
 from quayside.session import materialize
 
 
+def lowest_in_tile(ids: np.ndarray, left: np.ndarray, right: np.ndarray, linked: np.ndarray) -> np.ndarray:
+    """Lowest id that each row of a tile reaches by its links: an edge per row stands for all of them.
+
+    ``linked`` has a row for each of ``left`` and a column for each of ``right`` (places in ``ids``).
+    """
+    name, top = ids.copy(), np.iinfo(ids.dtype).max
+    while True:
+        before = name.copy()
+        np.minimum.at(name, left, np.where(linked, name[right], top).min(axis=1, initial=top))
+        np.minimum.at(name, right, np.where(linked, name[left][:, None], top).min(axis=0, initial=top))
+        if (before == name).all():
+            return name
+
+
 def _lowest(edges: DataFrame) -> DataFrame:
     """low (lowest neighbour or the vertex itself) and n (number of edges) of each u; combined before the shuffle."""
     lows = edges.groupBy("u").agg(F.min("v").alias("low"), F.count("*").alias("n"))

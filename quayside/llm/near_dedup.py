@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from quayside.llm.common import arrow_batch, attach, bytes_of, runs, slices, spark_schema
-from quayside.llm.components import components
+from quayside.llm.components import components, lowest_in_tile
 from quayside.session import materialize
 
 _KNOWN_WORDS = 300_000
@@ -34,7 +34,7 @@ class MinHash:
     rows: int = 4
     seed: int = 1
     #: Members of a bucket that one task compares with as many others.
-    tile: int = 1024
+    tile: int = 512
 
     def hashes(self) -> tuple[np.ndarray, np.ndarray]:
         """Odd factors and offsets of the multiply-add-shift family."""
@@ -182,11 +182,24 @@ def verified(pairs: DataFrame, minima_of: DataFrame, sets: DataFrame, plan: MinH
     return full.select("a", "b", "x", "y").mapInArrow(reach, schema)
 
 
-def _across(members: DataFrame, opened: DataFrame, named: DataFrame, plan: MinHash) -> DataFrame:
-    """All pairs of an open bucket that are in different components and whose minima agree enough.
+_TILE = ["key", "low", "high"]
+
+
+def _tiles(rows: DataFrame) -> DataFrame:
+    return rows.repartition(*_TILE).sortWithinPartitions(*_TILE)
+
+
+def _sides(tile: pa.Table) -> tuple[np.ndarray, np.ndarray, bool]:
+    """Places of a tile's left and right members, and whether they are the same."""
+    part, low, high = tile.column("part").to_numpy(), tile.column("low")[0].as_py(), tile.column("high")[0].as_py()
+    return np.flatnonzero(part == low), np.flatnonzero(part == high), low == high
+
+
+def _undecided(members: DataFrame, opened: DataFrame, named: DataFrame, plan: MinHash) -> DataFrame:
+    """Members of open buckets, by tile, that have a pair in another component whose minima agree enough.
 
     A bucket of n members is dealt to tiles of ``plan.tile`` members against as many, so a task holds two of
-    these at a time. A pair that meets in several buckets comes from that of its first common band.
+    these at a time. A pair that meets in several buckets counts in that of its first common band.
     """
     rows = attach(members, opened, ["key"], "n", members.count()).join(named, "id")
     dealt = rows.withColumn("part", F.pmod(F.xxhash64("id", F.lit(plan.seed)), F.col("parts")))
@@ -197,36 +210,66 @@ def _across(members: DataFrame, opened: DataFrame, named: DataFrame, plan: MinHa
     tiles = tiles.withColumns({"low": F.least("part", "other"), "high": F.greatest("part", "other")})
     least = plan.least_alike()
     kind = members.schema["id"].dataType
-    schema = spark_schema([("a", kind), ("b", kind)])
-    arrow = to_arrow_schema(schema)
+    place = [("key", T.LongType()), ("low", T.LongType()), ("high", T.LongType()), ("part", T.LongType())]
+    schema = spark_schema([*place, ("id", kind), ("component", kind)])
 
-    def compare(tile: pa.Table) -> pa.Table:
-        ids, component = (tile.column(c).to_numpy() for c in ("id", "component"))
-        part, high = tile.column("part").to_numpy(), tile.column("high")[0].as_py()
-        low = tile.column("low")[0].as_py()
-        values = np.frombuffer(b"".join(tile.column("minima").to_pylist()), np.uint8).reshape(len(ids), -1)
-        bands = np.stack(tile.column("bands").to_pylist())
-        earlier = bands[:, : int((bands == tile.column("key")[0].as_py()).any(axis=0).argmax())]
-        left, right = np.flatnonzero(part == low), np.flatnonzero(part == high)
-        a, b = [], []
-        for i in left.tolist():
-            apart = right[component[right] != component[i]]
-            apart = apart[apart > i] if low == high else apart
-            if len(apart):
-                near = apart[(values[apart] == values[i]).sum(axis=1) >= least]
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for tile in runs(batches, _TILE):
+            component = tile.column("component").to_numpy()
+            values = np.frombuffer(b"".join(tile.column("minima").to_pylist()), np.uint8).reshape(len(component), -1)
+            bands = np.stack(tile.column("bands").to_pylist())
+            earlier = bands[:, : int((bands == tile.column("key")[0].as_py()).any(axis=0).argmax())]
+            left, right, _ = _sides(tile)
+            some = np.zeros(len(component), bool)
+            for i in left.tolist():
+                near = right[component[right] != component[i]]
+                near = near[(values[near] == values[i]).sum(axis=1) >= least]
                 near = near[~(earlier[near] == earlier[i]).any(axis=1)]
-                a.append(np.full(len(near), ids[i]))
-                b.append(ids[near])
-        found = [np.concatenate(x) if x else np.zeros(0, ids.dtype) for x in (a, b)]
-        return pa.table([pa.array(np.minimum(*found)), pa.array(np.maximum(*found))], names=["a", "b"]).cast(arrow)
+                some[near] = True
+                some[i] |= len(near) > 0
+            yield from tile.select(schema.names).filter(pa.array(some)).to_batches()
+
+    return _tiles(tiles).mapInArrow(run, schema)
+
+
+def common_shingles(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray, columns: int = 4096) -> np.ndarray:
+    """Size of the intersection of each left set with each right one, by products of 0/1 matrices."""
+    every, at, uses = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+    shared = uses > 1
+    number = np.cumsum(shared) - 1
+    owner, at = owner[shared[at]], number[at[shared[at]]]
+    order = np.argsort(at, kind="stable")
+    owner, at = owner[order], at[order]
+    both = np.zeros((len(left), len(right)), np.float32)
+    for first in range(0, int(shared.sum()), columns):
+        a, b = np.searchsorted(at, [first, first + columns])
+        held = np.zeros((len(sets), columns), np.float32)
+        held[owner[a:b], at[a:b] - first] = 1
+        both += held[left] @ held[right].T
+    return both.astype(np.int64)
+
+
+def _links_in_tiles(undecided: DataFrame, sets: DataFrame, plan: MinHash) -> DataFrame:
+    """Links (a, b) that join the components of a tile's members, found on their full sets; at most one per member."""
+    percent = plan.percent
+    kind = undecided.schema["id"].dataType
+    schema = spark_schema([("a", kind), ("b", kind)])
+    arrow = to_arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for tile in runs(batches, tile_keys):
-            yield from compare(tile).to_batches()
+        for tile in runs(batches, _TILE):
+            ids, component = tile.column("id").to_numpy(), tile.column("component").to_numpy()
+            own = [np.frombuffer(s.as_buffer(), np.uint64) for s in tile.column("shingles")]
+            size = np.array([len(s) for s in own])
+            left, right, _ = _sides(tile)
+            both = common_shingles(own, left, right)
+            linked = 100 * both >= percent * (size[left][:, None] + size[right] - both)
+            linked &= component[left][:, None] != component[right]
+            name = lowest_in_tile(ids, left, right, linked)
+            yield arrow_batch(arrow, {"a": name[name != ids], "b": ids[name != ids]})
 
-    tile_keys = ["key", "low", "high"]
-    ordered = tiles.repartition(*tile_keys).sortWithinPartitions(*tile_keys)
-    return ordered.mapInArrow(run, schema).distinct()
+    return _tiles(undecided.join(sets, "id")).mapInArrow(run, schema)
 
 
 def near_duplicates(docs: DataFrame, plan: MinHash = MinHash()) -> DataFrame:
@@ -234,9 +277,9 @@ def near_duplicates(docs: DataFrame, plan: MinHash = MinHash()) -> DataFrame:
 
     Texts of one shingle set are one class and go on as their smallest doc_id, so copies cost no pairs.
     Classes that share a band key meet in a bucket. First all members are verified against the bucket's
-    first; then whatever pairs of a bucket are still in different components are compared, in tiles. So no
-    link between components is lost that banding finds, and pairs within a component are not counted out.
-    Verified links alone join components.
+    first. Then whatever members of a bucket are still in different components are compared in tiles, where
+    an edge per member stands for all links found. So no link between components is lost that banding finds,
+    and nothing that is shuffled grows with the square of a group. Links on full sets alone join components.
 
     Null, empty and blank texts have an empty set: no links, a component of their own. A text of fewer words
     than a shingle is one shingle. Rows of one doc_id are one vertex; a null doc_id has no links, a
@@ -264,8 +307,7 @@ def near_duplicates(docs: DataFrame, plan: MinHash = MinHash()) -> DataFrame:
     # Round one: every member against its bucket's first; that is all there is to a bucket of two.
     shared = attach(members, buckets, ["key"], "n", members.count())
     pairs = shared.where(F.col("id") != F.col("first")).select(F.col("first").alias("a"), F.col("id").alias("b")).distinct()
-    tested = materialize(pairs, "candidates")
-    links = verified(tested, minima_of, sets, plan)
+    links = verified(materialize(pairs, "candidates"), minima_of, sets, plan)
     found = materialize(components(links, "a", "b"), "components")
     # Round two: what larger buckets still hold apart. Each id has one row per band at most, so the joins are even.
     named = linked.join(found, "id", "left").select("id", F.coalesce("component", "id").alias("component"))
@@ -273,8 +315,8 @@ def near_duplicates(docs: DataFrame, plan: MinHash = MinHash()) -> DataFrame:
     larger = attach(members, buckets.where(F.col("n") > 2), ["key"], "n", members.count()).join(named, "id")
     state = larger.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("n"))
     opened = state.where(F.col("low") < F.col("high")).select("key", "n", F.ceil(F.col("n") / plan.tile).alias("parts"))
-    pairs = _across(members, materialize(opened, "open"), named, plan).join(tested, ["a", "b"], "left_anti")
-    more = verified(materialize(pairs, "candidates"), minima_of, sets, plan)
+    undecided = materialize(_undecided(members, materialize(opened, "open"), named, plan), "undecided")
+    more = _links_in_tiles(undecided, sets, plan)
     joined = found.select(F.col("id").alias("a"), F.col("component").alias("b")).unionByName(more)
     found = materialize(components(joined, "a", "b"), "components")
 

@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from quayside.llm.common import arrow_batch, attach, runs, spark_schema
-from quayside.llm.components import components
+from quayside.llm.components import components, lowest_in_tile
 from quayside.session import materialize
 
 
@@ -150,14 +150,7 @@ def _compare(tile: pa.Table, index: PivotIndex) -> dict[str, np.ndarray] | None:
     np.add.at(links, left, linked @ copies[right])
     if low[0] != high[0]:
         np.add.at(links, right, copies[left] @ linked)
-    # Lowest id within the tile's components, by passing it on along the links until nothing changes.
-    name, top = ids.copy(), np.iinfo(ids.dtype).max
-    while True:
-        before = name.copy()
-        np.minimum.at(name, left, np.where(linked, name[right], top).min(axis=1, initial=top))
-        np.minimum.at(name, right, np.where(linked, name[left][:, None], top).min(axis=0, initial=top))
-        if (before == name).all():
-            break
+    name = lowest_in_tile(ids, left, right, linked)
     some = links > 0
     return {"id": ids[some], "links": links[some], "other": name[some]}
 
