@@ -38,6 +38,16 @@ def attach(rows: DataFrame, keys: DataFrame, on: Sequence[str], size: str, total
     return stay.unionByName(move)
 
 
+def salted(rows: DataFrame, keys: DataFrame, on: Sequence[str], by: str, salts: int = 16) -> DataFrame:
+    """Join many ``rows`` with far fewer ``keys``, one row per key; each key's rows are dealt to ``salts`` places by ``by``.
+
+    Keys are repeated for each place. What a key still holds too much of, adaptive execution splits.
+    """
+    placed = rows.withColumn("__salt", F.pmod(F.xxhash64(by), F.lit(salts)).cast("int"))
+    repeated = keys.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    return placed.join(repeated, [*on, "__salt"]).drop("__salt")
+
+
 def packed(docs: DataFrame, *extra: Column) -> DataFrame:
     """``rest`` (all columns but the text), ``text`` and what else is named: no clash with names used in between."""
     rest = F.struct(*[docs[f"`{c}`"].alias(c) for c in docs.columns if c != "text"])

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from quayside.llm.common import arrow_batch, attach, bytes_of, runs, slices, spark_schema
+from quayside.llm.common import arrow_batch, attach, bytes_of, runs, salted, slices, spark_schema
 from quayside.llm.components import components, lowest_in_tile
 from quayside.session import materialize
 
@@ -295,7 +295,7 @@ def near_duplicates(docs: DataFrame, plan: MinHash = MinHash()) -> DataFrame:
     banded = classes.select("id", F.explode("bands").alias("key"))
     buckets = banded.groupBy("key").agg(F.count("*").alias("n"), F.min("id").alias("first"), F.max("id").alias("last"))
     buckets = materialize(buckets.where(F.col("first") < F.col("last")).select("key", "n", "first"), "buckets")
-    members = attach(banded, buckets, ["key"], "n", banded.count()).select("key", "id")
+    members = salted(banded, buckets, ["key"], "id").select("key", "id")
     members = materialize(members, "members")
     linked = members.select("id").distinct()
     minima_of = classes.groupBy("id").agg(F.first("minima").alias("minima"), F.first("bands").alias("bands"))
