@@ -28,8 +28,6 @@ class LineRules:
     min_letters: int = 12
     #: A document goes when its lines that fail hold over this share of its word characters.
     max_lost: float = 0.5
-    #: Share of words in repeated three-word windows above which a document goes.
-    max_repeated: float = 0.3
     #: Lines with one of these are boilerplate.
     boilerplate: tuple[str, ...] = (
         "all rights reserved", "cookie policy", "privacy policy", "terms of use", "terms of service",
@@ -136,11 +134,7 @@ def quality_rules(docs: DataFrame, rules: LineRules = LineRules()) -> DataFrame:
     f = F.col("__f")
     failed = (f["n_words"] < 50) | (100 * f["n_repeat_words"] > 50 * f["n_words"])
     left = word_chars(f["cleaned_text"])
-    verdict = (
-        ~failed
-        & (left >= F.lit(1 - rules.max_lost) * f["word_chars"])
-        & (f["n_repeat_words"] <= F.lit(rules.max_repeated) * f["n_words"])
-    )
+    verdict = ~failed & (left >= F.lit(1 - rules.max_lost) * f["word_chars"])
     old = [F.col(f"`{c}`") for c in docs.columns if c not in names]
     return found.select(
         *old, *[f[n].alias(n) for n in names[:5]], failed.alias("base_failed"), f["cleaned_text"].alias("cleaned_text"), verdict.alias("kept")

@@ -233,7 +233,10 @@ def _undecided(members: DataFrame, opened: DataFrame, named: DataFrame, plan: Mi
 
 
 def common_shingles(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray, columns: int = 4096) -> np.ndarray:
-    """Size of the intersection of each left set with each right one, by products of 0/1 matrices."""
+    """Size of the intersection of each left set with each other right one, by products of 0/1 matrices.
+
+    Shingles that one set alone has are left out, so a set's count with itself is of no use.
+    """
     every, at, uses = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
     owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
     shared = uses > 1

@@ -153,7 +153,7 @@ def near_vectors(rows, threshold=0.93):
     for i, v, label in rows:
         if v is not None and label is not None and len(v) and all(x is not None and np.isfinite(x) for x in v) and any(v):
             x = np.array(v, np.float64)
-            ok[i] = (label, x / np.linalg.norm(x))
+            ok[i] = ((label, len(x)), x / np.linalg.norm(x))
     links = defaultdict(set)
     for label in {label for label, _ in ok.values()}:
         ids = [i for i in ok if ok[i][0] == label]
