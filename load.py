@@ -1,8 +1,8 @@
 """Load jobs for spark-submit.
 
-    spark-submit load.py archives --raw /landing --stage /stage --warehouse /warehouse --table f2_out
+    spark-submit load.py archives --raw /landing --stage /stage --warehouse /warehouse --table arrivals
     spark-submit load.py archives --raw /landing ... --all-text          (a table per file, by name)
-    spark-submit load.py parquet  --raw s3a://bucket/raw ... --table f2_out --connection fs.s3a.endpoint=...
+    spark-submit load.py parquet  --raw s3a://bucket/raw ... --table arrivals --connection fs.s3a.endpoint=...
 
 Settings of the delimited text can come from the environment: ZIP_DIR, CSV_SEP, CSV_HEADER,
 INFER_SCHEMA, CSV_ENCODING, TABLE_NAME.

@@ -125,7 +125,7 @@ def join_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def inline_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     weights = spark.createDataFrame(
-        [("signup", 1, 10.5, True), ("click", 2, 5.2, False), ("view", 3, 8.9, True), ("purchase", 4, 11.3, False)],
+        [("purchase", 0, 1.0, True), ("signup", 10, 0.25, True), ("click", 20, 0.125, True), ("view", 30, 0.0, False)],
         ["event_type", "rank", "weight", "is_counted"],
     )
     counts = table(spark, sf_dir, "events").groupBy("event_type").agg(F.count("*").alias("n_events"))
@@ -212,8 +212,8 @@ ORACLES = {
     "join_lookup": "SELECT c_custkey, n_name FROM customer JOIN nation ON c_nationkey = n_nationkey",
     "inline_rows": """
         SELECT w.*, e.n_events
-        FROM (VALUES ('signup', CAST(1 AS BIGINT), CAST(10.5 AS DOUBLE), true), ('click', 2, 5.2, false),
-                     ('view', 3, 8.9, true), ('purchase', 4, 11.3, false)) w(event_type, rank, weight, is_counted)
+        FROM (VALUES ('purchase', CAST(0 AS BIGINT), CAST(1.0 AS DOUBLE), true), ('signup', 10, 0.25, true),
+                     ('click', 20, 0.125, true), ('view', 30, 0.0, false)) w(event_type, rank, weight, is_counted)
         JOIN (SELECT event_type, count(*) AS n_events FROM events GROUP BY 1) e USING (event_type)""",
     "range_rows": """
         SELECT count(*) AS n_keys, count(*) FILTER (o_orderkey IS NULL) AS n_missing

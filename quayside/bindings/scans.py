@@ -122,10 +122,11 @@ def text_objects_containing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def path_rewrite_objects(spark: SparkSession, sf_dir: str) -> DataFrame:
-    objects = read_text_objects(spark, _pages_as_objects(spark, sf_dir), "*.json")
+    before = _pages_as_objects(spark, sf_dir)
+    objects = read_text_objects(spark, before, "*.json")
     fixed = path_rewrite.rewrite_paths(objects, "body", OLD_LINK, NEW_LINK)
     place = scratch_path(spark, "rewritten")
-    path_rewrite.write_text_objects(fixed, place, ".json")
+    path_rewrite.write_text_objects(fixed, place, ".json", before)
     again = read_text_objects(spark, place, "*.json")
     page_id = F.regexp_extract("file_path", r"([0-9]+)\.json$", 1).cast("bigint").alias("page_id")
     return again.select(page_id, "body")

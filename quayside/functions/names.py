@@ -78,6 +78,11 @@ def short_hash(text: Column) -> Column:
     return F.substring(F.md5(text.cast("binary")), 1, HASH_CHARS)
 
 
+def full_hash(text: Column) -> Column:
+    """All hex digits, where two names must not meet."""
+    return F.md5(text.cast("binary"))
+
+
 def fallback_table_name(name: Column) -> Column:
     """Name for a stem of which folding leaves nothing."""
     return F.concat(F.lit("tbl_"), short_hash(name))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -33,10 +34,13 @@ def residual(frame: DataFrame, column: str, old: str) -> DataFrame:
     return frame.agg(F.count_if(F.col(column).contains(old)).alias("residual"))
 
 
-def write_text_objects(objects: DataFrame, folder_uri: str, ending: str) -> None:
-    """Each ``body`` as an object of its own, named like its ``file_path``, in another folder.
+def write_text_objects(objects: DataFrame, folder_uri: str, ending: str | None = None, root: str | None = None) -> None:
+    """Each ``body`` as an object of its own, in another folder.
 
-    Tasks write their own objects; writing one again replaces it.
+    Below ``root``, a folder that the objects were read from, each keeps its whole path (as scans
+    give it, URL-encoded); without one it is named like the last part of its ``file_path``, which has to be
+    unique. Only names with ``ending`` are written, if one is given. Tasks write their own
+    objects; writing one again replaces it.
     """
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -44,10 +48,22 @@ def write_text_objects(objects: DataFrame, folder_uri: str, ending: str) -> None
         store.create_dir(folder, recursive=True)
         for batch in batches:
             for name, body in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                with store.open_output_stream(f"{folder}/{name}") as handle:
+                place = f"{folder}/{name}"
+                store.create_dir(place.rpartition("/")[0], recursive=True)
+                with store.open_output_stream(place) as handle:
                     handle.write(body.encode())
             yield batch.select([0])
 
-    named = objects.select(base_name(F.col("file_path")).alias("name"), "body")
-    written = named.where(F.col("name").endswith(ending)).mapInArrow(write, "name string")
+    path = F.col("file_path")
+    if root is None:
+        name = base_name(path)
+    else:
+        decoded = F.regexp_replace(F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B"))), "^[A-Za-z][A-Za-z0-9+.-]*:/*", "/")
+        top = "/" + re.sub("^[A-Za-z][A-Za-z0-9+.-]*:/*", "", root).strip("/") + "/"
+        below = F.when(F.startswith(decoded, F.lit(top)), F.substring(decoded, len(top) + 1, 1 << 30))
+        name = F.coalesce(below, F.raise_error(F.concat(F.lit(f"not below {top}: "), decoded)))
+    named = objects.select(name.alias("name"), "body")
+    if ending:
+        named = named.where(F.col("name").endswith(ending))
+    written = named.mapInArrow(write, "name string")
     written.write.format("noop").mode("overwrite").save()

@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 from quayside.functions import column_types, names
 from quayside.plans import load_log
 from quayside.plans.loading import (
-    SOURCE_COLUMN, Loader, Tiers, for_each_table, merged_columns, pick, without,
+    SOURCE_COLUMN, Loader, Tiers, apart_from_log, for_each_table, merged_columns, pick, reserved, without,
 )
 from quayside.session import materialize, read_or_empty, session_settings
 from quayside.sources import archives
@@ -35,6 +35,8 @@ _FILE_SCHEMA = (
     "member_bytes bigint, n_blocks bigint"
 )
 _LINE_SCHEMA = "source string, line string"
+# The file of a row until it is written: no header can have the name, as line breaks end its line.
+_FILE = "\nfile"
 
 
 class ArchiveLoader(Loader):
@@ -58,9 +60,12 @@ class ArchiveLoader(Loader):
         self.csv = csv
         self.target = table
         self.routes = routes
+        for name in [*([] if table is None else [table]), *routes.values()]:
+            self.check_target(name)
+        self.name_job(csv.sep, csv.header, csv.infer_schema, csv.encoding, csv.decode_errors, csv.quote, csv.escape)
 
     def discover(self) -> DataFrame:
-        return self.assign_targets(list_files(self.spark, self.tiers.raw, ARCHIVES))
+        return self.assign_targets(list_files(self.spark, self.tiers.raw, ARCHIVES, connection=self.csv.connection))
 
     def assign_targets(self, files: DataFrame) -> DataFrame:
         """Add ``target_table`` to listed files."""
@@ -109,11 +114,13 @@ class ArchiveLoader(Loader):
     ) -> DataFrame:
         """Write one table of a load; give back ``source, target_table, n_rows, problem``."""
         declared = {} if existing is None else {f.name: f.dataType for f in existing if f.name != SOURCE_COLUMN}
-        accepted, refused = accept_layouts(headers, list(declared), self.merge_schema)
+        allowed = [h for h in headers if not reserved(h)]
+        accepted, refused = accept_layouts(allowed, list(declared), self.merge_schema) if allowed else ([], [])
+        refused = refused + [h for h in headers if reserved(h)]
         columns = merged_columns(list(declared), accepted)
         refused_files = opened.where(F.col("header").isin([json.dumps(h) for h in refused])).select(
             *load_log.KEY, F.lit(0).cast("bigint").alias("n_rows"),
-            F.lit("columns differ from the table's").alias("problem"),
+            F.lit("columns differ from the table's, or have a name that tables keep for themselves").alias("problem"),
         )
         if not accepted:
             return refused_files
@@ -124,12 +131,13 @@ class ArchiveLoader(Loader):
             for header in accepted:
                 lines = self._lines(stage, target, header)
                 lines = lines if share == 1 else lines.sample(share, seed=1)
-                parts.append(parse_lines(lines, header, self.csv).select("source", *pick(columns, header, "record")))
+                parts.append(parse_lines(lines, header, self.csv).select(F.col("source").alias(_FILE), *pick(columns, header, "record")))
             rows = reduce(DataFrame.unionByName, parts)
-            return rows if damaged is None else without(rows, damaged)
+            return rows if damaged is None else without(rows, damaged, _FILE)
 
         rows = rows_of(1)
-        counts = materialize(rows.groupBy("source").agg(F.count("*").alias("n_rows")), "counts")
+        counts = rows.groupBy(F.col(_FILE).alias("source")).agg(F.count("*").alias("n_rows"))
+        counts = materialize(counts, "counts")
         fixed = {name: data_type.simpleString() for name, data_type in declared.items()}
         types, misfits = self._find_types(rows_of, columns, fixed, counts)
         checked = counts.withColumn("target_table", F.lit(target))
@@ -137,9 +145,9 @@ class ArchiveLoader(Loader):
             checked = checked.withColumn("problem", F.lit(None).cast("string"))
         else:
             checked = checked.join(misfits, "source", "left")
-            rows = without(rows, misfits)
+            rows = without(rows, misfits, _FILE)
         typed = [F.col(quote(c)).cast(types[c]).alias(c) for c in columns]
-        self.write_table(load_id, target, rows.select(*typed, F.col("source").alias(SOURCE_COLUMN)))
+        self.write_table(load_id, target, rows.select(*typed, F.col(_FILE).alias(SOURCE_COLUMN)))
         checked = checked.select("source", "target_table", "n_rows", "problem")
         return checked.unionByName(refused_files) if refused else checked
 
@@ -159,7 +167,7 @@ class ArchiveLoader(Loader):
         new = [c for c in columns if c not in declared] if self.csv.infer_schema else []
         total = counts.agg(F.sum("n_rows")).first()[0] or 0
         some = rows_of(min(1, SAMPLE_ROWS / max(total, 1)))
-        seen = _masks_by_name(column_types.column_masks(some, "source", _quoted(new)), new) if new else {}
+        seen = _masks_by_name(column_types.column_masks(some, _FILE, _quoted(new)), new) if new else {}
         expected: dict[str, str | None] = {c: t for c, t in declared.items() if t != "string"}
         held = list(expected)
         if total > SAMPLE_ROWS:
@@ -168,8 +176,8 @@ class ArchiveLoader(Loader):
         misfits = None
         if expected:
             names = list(expected)
-            masks = column_types.column_masks(rows_of(1), "source", _quoted(names), list(expected.values()))
-            masks = materialize(masks, "masks")
+            masks = column_types.column_masks(rows_of(1), _FILE, _quoted(names), list(expected.values()))
+            masks = materialize(masks.withColumnRenamed(_FILE, "source"), "masks")
             for name, mask in _masks_by_name(masks, names).items():
                 if name in seen:
                     seen[name] |= mask
@@ -242,7 +250,7 @@ def accept_layouts(
 def route_files(files: DataFrame, routes: Mapping[str, str], loaded: DataFrame) -> DataFrame:
     """Table per file: the mapped one, else the safe name of the file.
 
-    Where different names fold to the same table, each gets a hash at its end. A name that was
+    Where different names fold to the same table, each gets its full hash at its end. A name that was
     loaded before keeps its table, whatever arrives later.
     """
     named = names.route_by_prefix(files.withColumn("stem", names.stem(F.col("source_name"))), "stem", routes)
@@ -257,10 +265,10 @@ def route_files(files: DataFrame, routes: Mapping[str, str], loaded: DataFrame)
     shared = (
         free.unionByName(earlier).distinct().groupBy("safe").agg((F.count("*") > 1).alias("is_shared"))
     )
-    own = F.when(F.col("is_shared"), F.concat_ws("_", "safe", names.short_hash(F.col("stem")))).otherwise(F.col("safe"))
+    own = F.when(F.col("is_shared"), F.concat_ws("_", "safe", names.full_hash(F.col("stem")))).otherwise(F.col("safe"))
     return (
         safe.join(shared, "safe", "left")
         .join(kept, "stem", "left")
-        .select(*files.columns, F.coalesce("mapped_table", "kept", own).alias("target_table"))
+        .select(*files.columns, F.coalesce("mapped_table", "kept", apart_from_log(own, names.full_hash(F.col("stem")))).alias("target_table"))
     )
 

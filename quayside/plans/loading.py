@@ -7,6 +7,8 @@ list and id, and replaces what it had written.
 
 from __future__ import annotations
 
+import hashlib
+import json
 from collections.abc import Callable, Iterable, Iterator
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
@@ -21,6 +23,10 @@ from quayside.plans.load_log import LoadLog
 from quayside.sources.delimited import quote
 
 SOURCE_COLUMN = "_source"
+# Columns that a table has of its own; a file that brings one fails, and no other.
+RESERVED_COLUMNS = (SOURCE_COLUMN, "load_id")
+# Beside the tables' folders in a warehouse; no table may take the name.
+LOG_FOLDER = "_load_log"
 PARALLEL_TABLES = 8
 
 
@@ -45,7 +51,18 @@ class Loader:
         self.spark = spark
         self.tiers = tiers
         self.merge_schema = merge_schema
-        self.log = LoadLog(spark, log_path or f"{tiers.warehouse}/_load_log")
+        self.job = ""
+        self.log = LoadLog(spark, log_path or f"{tiers.warehouse}/{LOG_FOLDER}")
+
+    def name_job(self, *settings) -> None:
+        """Mark of the settings that decide what a load writes; loads carry it, and only their own job replays them."""
+        described = json.dumps([type(self).__name__, self.merge_schema, *settings])
+        self.job = hashlib.md5(described.encode()).hexdigest()
+
+    @staticmethod
+    def check_target(target: str) -> None:
+        if target == LOG_FOLDER or not target:
+            raise ValueError(f"{target!r} cannot be a table")
 
     # What a kind of file has to say.
 
@@ -67,7 +84,7 @@ class Loader:
     def run(self) -> DataFrame:
         """Load what is new. One row: found, processed, skipped, failed, logged."""
         n_loads, unfinished = self.log.state()
-        done = [self.load(load_id) for load_id in unfinished]
+        done = [self.load(load_id) for load_id in unfinished if f"-{self.job}-" in load_id]
         discovered = self.discover()
         found = discovered.count()
         if not found:
@@ -79,7 +96,7 @@ class Loader:
         if done:  # what was just run again counts as processed, not as skipped
             before = logged.where(~F.col("load_id").isin(done))
             already = load_log.already_loaded_files(discovered, before).count()
-        for load_id, part in self.portions(f"L{n_loads}-{combined}", pending, n_pending):
+        for load_id, part in self.portions(f"L{n_loads}-{self.job}-{combined}", pending, n_pending):
             self.log.write_intents(load_id, part)
             done.append(self.load(load_id))
         return self.summary(found, done, already)
@@ -87,9 +104,12 @@ class Loader:
     def load(self, load_id: str) -> str:
         """Run, or run again, one announced load."""
         intents = self.log.intents(load_id)
-        outcomes = self.load_files(load_id, intents)
+        others = self.log.outcomes().where(F.col("load_id") != load_id)
+        # What another load has put into the same table meanwhile is not put there twice.
+        outcomes = self.load_files(load_id, load_log.pending_files(intents, others))
         named = intents.select("source", "source_name", "target_table", "n_bytes")
-        self.log.write_outcomes(load_id, named.join(outcomes, load_log.KEY, "left"))
+        ended = named.join(outcomes, load_log.KEY, "left")
+        self.log.write_outcomes(load_id, ended.fillna({"status": load_log.ALREADY_LOGGED, "n_rows": 0}))
         return load_id
 
     def summary(self, found: int, load_ids: Iterable[str], already: int) -> DataFrame:
@@ -157,6 +177,16 @@ class Loader:
         rows.write.mode("overwrite").parquet(f"{self.table_path(target)}/load_id={load_id}")
 
 
+def reserved(columns: Iterable[str]) -> list[str]:
+    """Names among the columns that tables have of their own."""
+    return [c for c in columns if c.lower() in RESERVED_COLUMNS]
+
+
+def apart_from_log(target: Column, mark: Column) -> Column:
+    """The table name, with a mark where it would be the log's folder."""
+    return F.when(target == LOG_FOLDER, F.concat_ws("_", target, mark)).otherwise(target)
+
+
 def for_each_table(work: Callable, arguments: Iterable[tuple]) -> list:
     """Start the jobs of several target tables side by side."""
     with ThreadPoolExecutor(PARALLEL_TABLES) as pool:

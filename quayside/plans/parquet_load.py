@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quayside.plans import load_log
-from quayside.plans.loading import SOURCE_COLUMN, Loader, Tiers, merged_columns
+from quayside.plans.loading import SOURCE_COLUMN, Loader, Tiers, merged_columns, reserved
 from quayside.session import materialize
 from quayside.sources.archives import tasks_for
 from quayside.sources.columnar import read_footers, read_parquet
@@ -43,9 +43,11 @@ class ParquetLoader(Loader):
         self.target = table
         self.connection = connection
         self.files_per_load = files_per_load
+        self.check_target(table)
+        self.name_job()
 
     def discover(self) -> DataFrame:
-        files = list_files(self.spark, self.tiers.raw, "*.parquet", recursive=True)
+        files = list_files(self.spark, self.tiers.raw, "*.parquet", recursive=True, connection=self.connection)
         return files.withColumn("target_table", F.lit(self.target))
 
     def portions(self, load_id: str, pending: DataFrame, n_pending: int) -> Iterator[tuple[str, DataFrame]]:
@@ -96,6 +98,8 @@ class ParquetLoader(Loader):
 
     def _misfit(self, types: dict[str, str], declared: dict[str, str], fixed: set[str]) -> str | None:
         """Why files of this layout cannot go into the table, or None."""
+        if own := reserved(types):
+            return f"{', '.join(own)}: tables keep the name for themselves"
         if declared and not self.merge_schema and set(types) != set(declared):
             return "columns differ from the table's"
         for name, found in types.items():

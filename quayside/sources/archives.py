@@ -48,8 +48,8 @@ class CsvFormat:
 
     @classmethod
     def all_text(cls, **changes) -> CsvFormat:
-        """Every column stays text, as for dictionary files in a legacy character set."""
-        return cls(**{"infer_schema": False, "encoding": "windows-1251", **changes})
+        """Every column stays text, as for dictionary files in a legacy character set; no byte is refused."""
+        return cls(**{"infer_schema": False, "encoding": "windows-1251", "decode_errors": "replace", **changes})
 
 
 def header_key(columns: list[str]) -> str:
@@ -63,12 +63,23 @@ def target_key(target: str) -> str:
 
 
 def column_names(fields: list[str]) -> list[str]:
-    """Header fields as unique column names, the way Spark's CSV reader makes them."""
+    """Header fields as unique column names, the way Spark's CSV reader makes them.
+
+    A name made so that another field has already, in any case, gets underscores until none has it.
+    """
     lowered = [f.lower() for f in fields]
-    return [
-        f"_c{i}" if not f else f"{f}{i}" if lowered.count(f.lower()) > 1 else f
-        for i, f in enumerate(fields)
-    ]
+    made = [not f or lowered.count(f.lower()) > 1 for f in fields]
+    taken = {low for low, new in zip(lowered, made) if not new}
+    names = []
+    for i, field in enumerate(fields):
+        name = field
+        if made[i]:
+            name = f"{field}{i}" if field else f"_c{i}"
+            while name.lower() in taken:
+                name += "_"
+            taken.add(name.lower())
+        names.append(name)
+    return names
 
 
 def text_blocks(stream, encoding: str, errors: str, size: int) -> Iterator[str]:
@@ -161,7 +172,7 @@ def read_archive(source: str, csv_format: CsvFormat) -> Iterator[dict]:
                 yield {"kind": "line", "header_key": found["header_key"], "member": found["member"], **block}
                 n_blocks += 1
     except Exception as error:  # one bad archive must not stop the others
-        found.update(status="failed", error=f"{type(error).__name__}: {error}"[:500])
+        found.update(status="failed", error=f"{type(error).__name__}: {error}")
     yield {"kind": "file", "n_blocks": n_blocks, **found, "header_key": "all"}
 
 

@@ -49,7 +49,7 @@ def read_footers(sources: DataFrame, connection: Mapping[str, str] | None = None
                         layout = [[f.name, str(f.type)] for f in footer.schema_arrow]
                         row.update(n_rows=footer.metadata.num_rows, layout=json.dumps(layout))
                 except Exception as error:  # one bad file must not stop the others
-                    row.update(status="failed", error=f"{type(error).__name__}: {error}"[:500])
+                    row.update(status="failed", error=f"{type(error).__name__}: {error}")
                 rows.append(row)
             yield pa.RecordBatch.from_pylist(rows, schema=schema)
 

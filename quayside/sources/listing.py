@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,14 +14,16 @@ LISTING_SCHEMA = "source string, source_name string, n_bytes bigint, modified_at
 
 
 def list_files(
-    spark: SparkSession, path: str, glob: str | None = None, recursive: bool = False
+    spark: SparkSession, path: str, glob: str | None = None, recursive: bool = False,
+    connection: Mapping[str, str] | None = None,
 ) -> DataFrame:
     """Files under a folder: ``source`` (full path), ``source_name``, ``n_bytes``, ``modified_at``.
 
-    The glob is case-sensitive. A listing has one row per file, so the many input splits that
+    The glob is case-sensitive; ``connection`` (endpoint, keys, SSL) holds for this listing alone. A listing has one row per file, so the many input splits that
     the file sizes would give are merged into as many tasks as there are cores.
     """
-    reader = spark.read.format("binaryFile").option("recursiveFileLookup", str(recursive).lower())
+    reader = spark.read.options(**(connection or {})).format("binaryFile")
+    reader = reader.option("recursiveFileLookup", str(recursive).lower())
     if glob:
         reader = reader.option("pathGlobFilter", glob)
     return (

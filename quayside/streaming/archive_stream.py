@@ -1,8 +1,9 @@
 """Archive load driven by Spark's streaming file source.
 
 The stream's checkpoint remembers which files were seen, the load log which were loaded. Each
-micro-batch is one load whose id comes from the query and the batch number, so a batch that is
-run again after a failure replaces what it had written.
+micro-batch is one load whose id comes from the checkpoint's query id, which outlives restarts and
+which no other checkpoint has, and the batch number. So a batch that is run again after a failure
+replaces what it had written, and no batch replaces another's.
 """
 
 from __future__ import annotations
@@ -29,6 +30,7 @@ def start_archive_stream(
     reader = loader.spark.readStream.format("binaryFile").schema(BINARY_FILE).option("pathGlobFilter", ARCHIVES)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    reader = reader.options(**loader.csv.connection)
     listed = reader.load(loader.tiers.raw).select(
         F.col("path").alias("source"),
         names.base_name(F.col("path")).alias("source_name"),
@@ -36,7 +38,8 @@ def start_archive_stream(
     )
 
     def load_batch(batch: DataFrame, batch_id: int) -> None:
-        load_id = f"S{query_name}-{batch_id}"
+        query_id = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        load_id = f"S{query_name}-{loader.job}-{query_id}-{batch_id}"
         files = loader.assign_targets(batch)
         done_before = loader.log.outcomes().where(F.col("load_id") != load_id)
         loader.log.write_intents(load_id, load_log.pending_files(files, done_before))
