@@ -244,7 +244,7 @@ def test_names_that_fold_to_the_same_get_a_hash(spark, area):
     assert counts(loader.run()) == {"found": 2, "processed": 1, "skipped": 1, "failed": 0, "logged": 2}
     targets = {r["source_name"]: r["target_table"] for r in loader.log.processed().collect()}
     assert targets["Отчёт_9.zip"] == "_9"
-    assert re.fullmatch("_9_[0-9a-f]{8}", targets["Сводка_9.zip"])
+    assert re.fullmatch("_9_[0-9a-f]{32}", targets["Сводка_9.zip"])
 
 
 def test_two_new_names_that_fold_to_the_same(spark, area):
@@ -253,7 +253,7 @@ def test_two_new_names_that_fold_to_the_same(spark, area):
     loader = ArchiveLoader(spark, area.tiers)
     loader.run()
     targets = {r["target_table"] for r in loader.log.processed().collect()}
-    assert len(targets) == 2 and all(re.fullmatch("a_b_[0-9a-f]{8}", t) for t in targets)
+    assert len(targets) == 2 and all(re.fullmatch("a_b_[0-9a-f]{32}", t) for t in targets)
     assert counts(loader.run())["skipped"] == 2
 
 
