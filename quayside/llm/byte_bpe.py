@@ -21,7 +21,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from quayside.llm.common import arrow_batch, packed, rest_field, slices, spark_schema, texts_of, unpacked
 
 #: Words whose ids a worker keeps from one piece of its texts to the next; over it, it starts anew.
-KNOWN_WORDS = 300_000
+KNOWN_WORDS = 700_000
 
 _NONE = np.int64(1) << 40
 
