@@ -5,9 +5,11 @@ from __future__ import annotations
 import hashlib
 import re
 import zlib
+from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -114,6 +116,9 @@ def base_spans(text: str) -> list[Span]:
 def beside(text: str, spans: list[Span], window: int) -> Iterator[tuple[str, str, int, int]]:
     """(entity, term, start, end) for the words next to each mention, as far as no base data covers them."""
     covered = sorted((start, end) for _, start, end in spans)
+    starts = [start for start, _ in covered]
+    # Furthest end of the spans up to each, so a word is held against all of them in one search.
+    reach = list(accumulate((end for _, end in covered), max))
     for _, start, end in spans:
         entity = text[start:end].lower()
         # As far as the words need: the text before is read in growing steps, the text behind by the matcher.
@@ -131,7 +136,8 @@ def beside(text: str, spans: list[Span], window: int) -> Iterator[tuple[str, str
             if len(right) == window:
                 break
         for m in (*left, *right):
-            if not any(a < m.end() and m.start() < b for a, b in covered):
+            before = bisect_left(starts, m.end())
+            if not before or reach[before - 1] <= m.start():
                 yield entity, m[0].lower(), m.start(), m.end()
 
 
