@@ -110,9 +110,12 @@ ORACLES = {
     "graph_shortest_paths": f"""
         WITH RECURSIVE {_GRAPH_SQL},
         steps AS MATERIALIZED (SELECT DISTINCT src, dst FROM edges),
-        walk(id, landmark, dist) AS (
+        walk(id, landmark, dist) USING KEY (id, landmark) AS (
           SELECT id, id, 0 FROM vertices WHERE id IN ({", ".join(f"'{x}'" for x in LANDMARKS)})
           UNION
-          SELECT s.src, w.landmark, w.dist + 1 FROM walk w JOIN steps s ON s.dst = w.id WHERE w.dist < 12)
-        SELECT id, landmark, min(dist) AS dist FROM walk GROUP BY id, landmark""",
+          SELECT s.src, w.landmark, min(w.dist + 1)
+          FROM walk w JOIN steps s ON s.dst = w.id
+          LEFT JOIN recurring.walk k ON k.id = s.src AND k.landmark = w.landmark
+          WHERE k.id IS NULL GROUP BY s.src, w.landmark)
+        SELECT id, landmark, dist FROM walk""",
 }

@@ -7,19 +7,19 @@ the small per-vertex frames.
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
-from contextlib import contextmanager
+from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quayside.session import materialize, scratch_path
+from quayside.session import materialize, scratch_path, session_settings
 
 HOT_DEGREE = 1_000_000
-HOT_KEYS = 4096
+# Above their limit are so many keys at most; those below it hold no more edges than a bucket up to 3e11 edges.
+HOT_KEYS = 65_536
 EDGES_PER_BUCKET = 5_000_000
-MAX_BUCKETS = 100_000
+MAX_BUCKETS_SETTING = "spark.sql.sources.bucketing.maxBuckets"
 ROUNDS_PER_WRITE = 4
 HOPS_PER_WRITE = 20
 
@@ -63,58 +63,69 @@ class Graph:
         return shortest_paths(self, landmarks)
 
 
-def hot_keys(degrees: DataFrame, key: str, hot_degree: int = HOT_DEGREE) -> DataFrame | None:
+def hot_keys(degrees: DataFrame, key: str, hot_degree: int = HOT_DEGREE) -> DataFrame:
     """Keys with too many edges for one task, and over how many groups to spread each.
 
     ``degrees`` has the number of edges ``n`` per key. The limit rises with the number of all
     edges, so there are at most ``HOT_KEYS`` of them: that is what makes broadcasting them safe.
-    None where no key is that frequent.
     """
-    total, largest = degrees.agg(F.sum("n"), F.max("n")).first()
-    limit = max(hot_degree, -(-(total or 0) // HOT_KEYS))
-    if (largest or 0) <= limit:
-        return None
+    total = degrees.agg(F.sum("n")).first()[0] or 0
+    limit = max(hot_degree, -(-total // HOT_KEYS))
     groups = F.ceil(F.col("n") / F.lit(limit)).cast("int")
-    return degrees.where(F.col("n") > limit).select(key, groups.alias("groups"))
+    return materialize(degrees.where(F.col("n") > limit).select(key, groups.alias("groups")), "hot-keys")
 
 
-def spread_edges(edges: DataFrame, key: str, other: str, hot: DataFrame | None) -> DataFrame:
+def spread_edges(edges: DataFrame, key: str, other: str, hot: DataFrame) -> DataFrame:
     """Edges of hot keys get the ``part`` of their key they belong to; it is 0 for the others."""
-    if hot is None:
-        return edges
     part = F.pmod(F.xxhash64(other), F.coalesce("groups", F.lit(1))).cast("int")
     return edges.join(F.broadcast(hot), key, "left").withColumn("part", part).drop("groups")
 
 
-def repeat_keys(values: DataFrame, key: str, hot: DataFrame | None) -> DataFrame:
+def repeat_keys(values: DataFrame, key: str, hot: DataFrame) -> DataFrame:
     """Per-vertex values, once for each part of their key."""
-    if hot is None:
-        return values
     parts = F.explode(F.sequence(F.lit(0), F.coalesce("groups", F.lit(1)) - 1))
     return values.join(F.broadcast(hot), key, "left").withColumn("part", parts).drop("groups")
 
 
-@contextmanager
-def laid_out(edges: DataFrame, keys: list[str], n_edges: int) -> Iterator[DataFrame]:
-    """Edges as a written table for the rounds in the block, bucketed by ``keys`` when large.
+def buckets_for(spark: SparkSession, n_edges: int) -> int:
+    """Buckets of about ``EDGES_PER_BUCKET``, and one per core at least."""
+    return max(spark.sparkContext.defaultParallelism, -(-n_edges // EDGES_PER_BUCKET))
 
-    Rounds that join on the keys then read their buckets and shuffle the other side only. Edges
-    that fit one bucket are just written; their size on disk tells Spark how to join them.
-    """
-    spark = edges.sparkSession
-    if n_edges <= EDGES_PER_BUCKET:
-        yield materialize(edges.repartition(spark.sparkContext.defaultParallelism), "edges")
-        return
-    buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-n_edges // EDGES_PER_BUCKET))
-    buckets = min(buckets, MAX_BUCKETS)
-    path = scratch_path(spark, "edges")
-    name = f"quayside_{path.rsplit('-', 1)[1]}"
-    spread = edges.repartition(buckets, *keys)
-    spread.write.bucketBy(buckets, *keys).option("path", path).format("parquet").saveAsTable(name)
-    try:
-        yield spark.table(name)
-    finally:
-        spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+class Bucketed:
+    """Written tables bucketed by ``keys``; joins on these shuffle the other side only. Known by name inside a block."""
+
+    def __init__(self, spark: SparkSession, keys: list[str], buckets: int):
+        self.spark, self.keys, self.buckets = spark, keys, buckets
+        self.names: list[str] = []
+
+    def __enter__(self) -> Bucketed:
+        most = int(self.spark.conf.get(MAX_BUCKETS_SETTING))
+        self.setting = session_settings(self.spark, {MAX_BUCKETS_SETTING: str(max(most, self.buckets))})
+        self.setting.__enter__()
+        return self
+
+    def __exit__(self, *raised) -> None:
+        for name in self.names:
+            self.spark.sql(f"DROP TABLE IF EXISTS {name}")
+        self.setting.__exit__(*raised)
+
+    def dealt(self, rows: DataFrame) -> DataFrame:
+        """Rows with one task per bucket."""
+        return rows.repartition(self.buckets, *self.keys)
+
+    def write(self, rows: DataFrame, label: str) -> DataFrame:
+        """A new table of rows that are dealt."""
+        path = scratch_path(self.spark, label)
+        self.names.append(f"quayside_{path.rsplit('-', 1)[1]}")
+        rows.write.bucketBy(self.buckets, *self.keys).option("path", path).format("parquet").saveAsTable(self.names[-1])
+        return self.spark.table(self.names[-1])
+
+    def add(self, rows: DataFrame) -> DataFrame:
+        """The latest table with more rows that are dealt."""
+        writer = rows.write.mode("append").bucketBy(self.buckets, *self.keys).format("parquet")
+        writer.saveAsTable(self.names[-1])
+        return self.spark.table(self.names[-1])
 
 
 def page_rank(
@@ -126,15 +137,17 @@ def page_rank(
     ``r = p`` from the first round on, so a round joins the edges with the received sums alone.
     """
     p = F.lit(float(reset_probability))
+    keys = ["src", "part"]
     pairs = materialize(graph.edges.groupBy("src", "dst").agg(F.count("*").alias("copies")), "pairs")
     starts = pairs.groupBy("src").agg(F.sum("copies").alias("out_degree"), F.count("*").alias("n"))
     starts = materialize(starts, "starts")
     hot = hot_keys(starts, "src", hot_degree)
-    keys = ["src"] if hot is None else ["src", "part"]
     share = (F.col("copies") / F.col("out_degree")).alias("share")
-    weighted = pairs.join(starts, "src").select("src", "dst", share)
+    spread = spread_edges(pairs, "src", "dst", hot).join(repeat_keys(starts.drop("n"), "src", hot), keys)
+    weighted = spread.select(*keys, "dst", share)
     received = None
-    with laid_out(spread_edges(weighted, "src", "dst", hot), keys, pairs.count()) as weighted:
+    with Bucketed(pairs.sparkSession, keys, buckets_for(pairs.sparkSession, pairs.count())) as tables:
+        weighted = tables.write(tables.dealt(weighted), "edges")
         for number in range(1, max_iter + 1):
             if received is None:
                 arriving, sent = weighted, F.col("share")
@@ -159,28 +172,31 @@ def page_rank(
 def hop_counts(graph: Graph, landmarks: Sequence, hot_degree: int = HOT_DEGREE) -> DataFrame:
     """``id, landmark, dist`` for every vertex and every landmark it can reach.
 
-    Grown backwards from the landmarks, one hop per round, until a round finds nothing new.
+    Grown backwards from the landmarks, one hop per round, until a round finds nothing new. Edges lie
+    bucketed by their end, and what was reached by vertex and landmark; a round shuffles the frontier
+    and what it finds, and adds that to the table.
     """
+    spark = graph.edges.sparkSession
     steps = materialize(graph.edges.select("src", "dst").where("src <> dst").distinct(), "steps")
     ends = materialize(steps.groupBy("dst").agg(F.count("*").alias("n")), "ends")
     hot = hot_keys(ends, "dst", hot_degree)
-    keys = ["dst"] if hot is None else ["dst", "part"]
+    buckets = buckets_for(spark, steps.count())
     wanted = graph.vertices.where(F.col("id").isin(list(landmarks)))
-    frontier = wanted.select("id", F.col("id").alias("landmark"), F.lit(0).alias("dist"))
-    reached = frontier = materialize(frontier, "frontier")
+    start = wanted.select("id", F.col("id").alias("landmark"), F.lit(0).alias("dist"))
     dist = 0
-    with laid_out(spread_edges(steps, "dst", "src", hot), keys, steps.count()) as steps:
-        while not frontier.isEmpty():
+    with Bucketed(spark, ["dst", "part"], buckets) as edges, Bucketed(spark, ["id", "landmark"], buckets) as places:
+        steps = edges.write(edges.dealt(spread_edges(steps, "dst", "src", hot)), "edges")
+        reached = places.write(places.dealt(start), "reached")
+        while not (frontier := reached.where(F.col("dist") == dist)).isEmpty():
             dist += 1
             heads = frontier.select(F.col("id").alias("dst"), "landmark")
-            found = steps.join(repeat_keys(heads, "dst", hot), keys)
-            found = found.select(F.col("src").alias("id"), "landmark").distinct()
+            found = steps.join(repeat_keys(heads, "dst", hot), edges.keys)
+            found = places.dealt(found.select(F.col("src").alias("id"), "landmark")).distinct()
             fresh = found.join(reached.select("id", "landmark"), ["id", "landmark"], "left_anti")
-            frontier = materialize(fresh.withColumn("dist", F.lit(dist)), "frontier")
-            reached = reached.unionByName(frontier)
+            reached = places.add(fresh.withColumn("dist", F.lit(dist)))
             if dist % HOPS_PER_WRITE == 0:
-                reached = materialize(reached, "reached")
-    return reached
+                reached = places.write(places.dealt(reached), "reached")
+        return materialize(reached, "reached")
 
 
 def shortest_paths(graph: Graph, landmarks: Sequence, hot_degree: int = HOT_DEGREE) -> DataFrame:
