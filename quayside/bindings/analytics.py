@@ -8,9 +8,8 @@ from pyspark.sql import functions as F
 from quayside.bindings.common import table
 from quayside.functions import names
 from quayside.operators import audit
-from quayside.operators.top_k import any_row, latest, month_range, top_k
+from quayside.operators.top_k import any_row, month_range, top_k
 from quayside.plans import turnover
-from quayside.plans.load_log import PROCESSED
 
 YEAR, MONTH = 1997, 1
 IN_MONTH_SQL = "l_shipdate >= TIMESTAMP '1997-01-01' AND l_shipdate < TIMESTAMP '1997-02-01'"
@@ -78,28 +77,6 @@ def preview_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "nation").orderBy("n_nationkey").limit(5)
 
 
-def _monthly_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``orders`` as if each month had been one load, a file per order status."""
-    month = F.date_format("o_orderdate", "yyyy-MM")
-    return (
-        table(spark, sf_dir, "orders")
-        .groupBy(F.concat(F.lit("L"), month).alias("load_id"), F.col("o_orderstatus").alias("source"))
-        .agg(F.count("*").alias("n_rows"), F.max("o_orderdate").cast("timestamp").alias("loaded_at"))
-        .select("*", F.lit("orders").alias("target_table"), F.lit(PROCESSED).alias("status"))
-    )
-
-
-def commit_history(spark: SparkSession, sf_dir: str) -> DataFrame:
-    history = audit.commit_history(_monthly_log(spark, sf_dir))
-    return history.withColumn("committed_at", F.col("committed_at").cast("timestamp_ntz"))
-
-
-def latest_total_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    history = audit.with_summary(audit.commit_history(_monthly_log(spark, sf_dir)))
-    newest = latest(history, ["committed_at", "load_id"])
-    return newest.select(F.col("summary")["total-records"].cast("bigint").alias("total_rows"))
-
-
 def map_lookup_cast(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts = table(spark, sf_dir, "orders").groupBy("o_custkey", "o_orderstatus").agg(F.count("*").alias("n"))
     entry = F.struct("o_orderstatus", F.col("n").cast("string"))
@@ -153,8 +130,6 @@ QUERIES = {
     "file_totals": file_totals,
     "largest_files": largest_files,
     "preview_rows": preview_rows,
-    "commit_history": commit_history,
-    "latest_total_records": latest_total_records,
     "map_lookup_cast": map_lookup_cast,
     "route_by_prefix": route_by_prefix,
     "join_lookup": join_lookup,
@@ -191,15 +166,6 @@ ORACLES = {
     "file_totals": "SELECT count(*) AS data_files, CAST(sum(n_chars) AS BIGINT) AS size_bytes FROM documents",
     "largest_files": "SELECT doc_id, source, n_chars FROM documents ORDER BY n_chars DESC, doc_id LIMIT 20",
     "preview_rows": "SELECT * FROM nation ORDER BY n_nationkey LIMIT 5",
-    "commit_history": """
-        WITH commits AS (
-          SELECT 'L' || strftime(o_orderdate, '%Y-%m') AS load_id, max(o_orderdate) AS committed_at,
-                 count(DISTINCT o_orderstatus) AS added_files, count(*) AS added_records
-          FROM orders GROUP BY 1)
-        SELECT 'orders' AS target_table, load_id, committed_at, 'append' AS operation, added_files, added_records,
-               CAST(sum(added_records) OVER (ORDER BY committed_at, load_id) AS BIGINT) AS total_records
-        FROM commits""",
-    "latest_total_records": "SELECT count(*) AS total_rows FROM orders",
     "map_lookup_cast": """
         WITH maps AS (
           SELECT o_custkey, map_from_entries(list((o_orderstatus, CAST(n AS VARCHAR)))) AS summary

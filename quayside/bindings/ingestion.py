@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quayside.bindings.common import (
@@ -11,7 +13,9 @@ from quayside.bindings.common import (
 )
 from quayside.functions import names
 from quayside.functions.measures import megabytes
+from quayside.operators import audit
 from quayside.operators.path_rewrite import write_text_objects
+from quayside.operators.top_k import latest
 from quayside.plans import load_log
 from quayside.plans.archive_load import ARCHIVES, ArchiveLoader, parse_lines
 from quayside.plans.loading import Tiers
@@ -23,11 +27,10 @@ from quayside.sources.listing import list_files
 from quayside.streaming.archive_stream import start_archive_stream
 
 EVENTS_SQL = "SELECT event_id, ts, user_id, event_type, value, props FROM events"
-DAY_FILES_SQL = """
-  SELECT DISTINCT 'day=' || strftime(ts, '%Y-%m-%d') AS source, 'events' AS target_table FROM events
-"""
-# Days the made log has as loaded.
-LOADED_UNTIL = "2024-01-11"
+# Days that a first load, and a second one, take of ``events``.
+FIRST_UNTIL, LOADED_UNTIL = "2024-01-06", "2024-01-11"
+
+_loaded: dict[tuple, ArchiveLoader] = {}
 
 
 def _tiers(spark: SparkSession, raw: str) -> Tiers:
@@ -46,24 +49,47 @@ def zip_csv_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return as_events(parse_lines(lines, list(EVENT_TYPES), CsvFormat()).select("record.*"))
 
 
-def _day_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    days = table(spark, sf_dir, "events").select(F.to_date("ts").alias("day")).distinct()
-    source = F.concat(F.lit("day="), F.col("day").cast("string"))
-    return days.select("day", source.alias("source"), F.lit("events").alias("target_table"))
+def _before(day: str) -> Column:
+    return F.col("ts") < F.lit(day).cast("timestamp_ntz")
 
 
-def _day_log(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    days = _day_files(spark, sf_dir)
-    loaded = days.where(F.col("day") < F.lit(LOADED_UNTIL).cast("date"))
-    return days.drop("day"), loaded.drop("day").withColumn("status", F.lit(load_log.PROCESSED))
+def loaded_in_part(spark: SparkSession, sf_dir: str) -> ArchiveLoader:
+    """Loader that took ``events`` by day in two loads, after which the later days arrived; made once per application."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _loaded:
+        events, landing = events_by_day(spark, sf_dir), scratch_path(spark, "landing")
+        loader = ArchiveLoader(spark, _tiers(spark, landing), table="events")
+        land_archives(events.where(_before(FIRST_UNTIL)), landing)
+        loader.run()
+        land_archives(events.where(~_before(FIRST_UNTIL) & _before(LOADED_UNTIL)), landing)
+        loader.run()
+        land_archives(events.where(~_before(LOADED_UNTIL)), landing)
+        _loaded[key] = loader
+    return _loaded[key]
 
 
 def pending_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return load_log.pending_files(*_day_log(spark, sf_dir)).select(*load_log.KEY)
+    loader = loaded_in_part(spark, sf_dir)
+    return load_log.pending_files(loader.discover(), loader.log.outcomes()).select("source_name", "target_table")
 
 
 def already_loaded_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return load_log.already_loaded_files(*_day_log(spark, sf_dir)).select(*load_log.KEY)
+    loader = loaded_in_part(spark, sf_dir)
+    return load_log.already_loaded_files(loader.discover(), loader.log.outcomes()).select("source_name", "target_table")
+
+
+def commit_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    history = audit.commit_history(loaded_in_part(spark, sf_dir).log.outcomes())
+    number = F.row_number().over(Window.partitionBy("target_table").orderBy("committed_at", "load_id"))
+    return history.select(
+        "target_table", number.cast("bigint").alias("commit"), "operation", "added_files", "added_records", "total_records"
+    )
+
+
+def latest_total_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    history = audit.with_summary(audit.commit_history(loaded_in_part(spark, sf_dir).log.outcomes()))
+    newest = latest(history, ["committed_at", "load_id"])
+    return newest.select(F.col("summary")["total-records"].cast("bigint").alias("total_rows"))
 
 
 def load_log_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -93,8 +119,24 @@ def ingest_fan_out(spark: SparkSession, sf_dir: str) -> DataFrame:
     land_archives(with_archive_names(events, F.concat(F.lit("Évents-"), "event_type")), landing)
     loader = ArchiveLoader(spark, _tiers(spark, landing))
     loader.run()
+    targets = [row["target_table"] for row in loader.log.processed().select("target_table").distinct().collect()]
+    rows = [loader.table(t).select(F.lit(t).alias("target_table"), "event_id") for t in targets]
     kind = F.regexp_replace("target_table", "_[0-9]+$", "").alias("target_table")
-    return loader.log.processed().groupBy(kind).agg(F.sum("n_rows").alias("n_rows"))
+    counted = reduce(DataFrame.unionByName, rows).groupBy(kind)
+    return counted.agg(F.count("*").alias("n_rows"), F.countDistinct("event_id").alias("n_events"))
+
+
+def ingest_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``documents``, whose columns have names that loads use themselves; texts travel in one line."""
+    docs = table(spark, sf_dir, "documents")
+    landing = scratch_path(spark, "landing")
+    named = docs.withColumn("name", F.concat_ws("_", F.lit("documents"), "source", "lang"))
+    land_archives(named.withColumn("text", F.regexp_replace(F.base64(F.encode("text", "UTF-8")), r"\s", "")), landing)
+    loader = ArchiveLoader(spark, _tiers(spark, landing), table="documents")
+    loader.run()
+    text = F.coalesce(F.decode(F.unbase64("text"), "UTF-8"), F.lit("")).alias("text")
+    loaded = loader.table("documents")
+    return loaded.select(*[text if f.name == "text" else F.col(f.name).cast(f.dataType) for f in docs.schema])
 
 
 def ingest_rerun_idempotent(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -110,7 +152,7 @@ def ingest_rerun_idempotent(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def ingest_schema_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = events_by_day(spark, sf_dir)
-    early = F.col("ts") < F.lit(LOADED_UNTIL).cast("timestamp_ntz")
+    early = _before(LOADED_UNTIL)
     landing = scratch_path(spark, "landing")
     land_archives(events.where(early).drop("props"), landing)
     loader = ArchiveLoader(spark, _tiers(spark, landing), table="events")
@@ -141,11 +183,15 @@ def ingest_parquet(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    loader = ArchiveLoader(spark, _tiers(spark, events_landing(spark, sf_dir)), table="events")
-    checkpoint = scratch_path(spark, "stream")
-    name = unique_name("events")
-    for _ in range(2):
-        start_archive_stream(loader, checkpoint, name).awaitTermination()
+    """Two landings with a checkpoint each go into one table; each stream is started twice."""
+    events, name = events_by_day(spark, sf_dir), unique_name("events")
+    tiers = scratch_path(spark, "tiers")
+    for part in (_before(LOADED_UNTIL), ~_before(LOADED_UNTIL)):
+        landing, checkpoint = scratch_path(spark, "landing"), scratch_path(spark, "stream")
+        land_archives(events.where(part), landing)
+        loader = ArchiveLoader(spark, Tiers.under(tiers, landing), table="events")
+        for _ in range(2):
+            start_archive_stream(loader, checkpoint, name).awaitTermination()
     return as_events(loader.table("events"))
 
 
@@ -174,8 +220,8 @@ def classify_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def run_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     loader = ArchiveLoader(spark, _tiers(spark, _mixed_landing(spark, sf_dir)), table="events")
-    loader.run()
-    return loader.run()
+    runs = [loader.run().withColumn("run", F.lit(number)) for number in (1, 2)]
+    return reduce(DataFrame.unionByName, runs)
 
 
 QUERIES = {
@@ -183,10 +229,13 @@ QUERIES = {
     "zip_csv_scan": zip_csv_scan,
     "pending_files": pending_files,
     "already_loaded_files": already_loaded_files,
+    "commit_history": commit_history,
+    "latest_total_records": latest_total_records,
     "load_log_rows": load_log_rows,
     "ingest_fan_in": ingest_fan_in,
     "registered_table": registered_table,
     "ingest_fan_out": ingest_fan_out,
+    "ingest_documents": ingest_documents,
     "ingest_rerun_idempotent": ingest_rerun_idempotent,
     "ingest_schema_merge": ingest_schema_merge,
     "ingest_all_text": ingest_all_text,
@@ -199,15 +248,31 @@ QUERIES = {
 ORACLES = {
     "discover_archives": f"SELECT DISTINCT archive || '.zip' AS source_name, true AS has_bytes FROM ({EVENT_ARCHIVES_SQL})",
     "zip_csv_scan": EVENTS_SQL,
-    "pending_files": f"SELECT * FROM ({DAY_FILES_SQL}) WHERE source >= 'day={LOADED_UNTIL}'",
-    "already_loaded_files": f"SELECT * FROM ({DAY_FILES_SQL}) WHERE source < 'day={LOADED_UNTIL}'",
+    "pending_files": f"""
+        SELECT DISTINCT archive || '.zip' AS source_name, 'events' AS target_table
+        FROM ({EVENT_ARCHIVES_SQL}) WHERE ts >= TIMESTAMP '{LOADED_UNTIL} 00:00:00'""",
+    "already_loaded_files": f"""
+        SELECT DISTINCT archive || '.zip' AS source_name, 'events' AS target_table
+        FROM ({EVENT_ARCHIVES_SQL}) WHERE ts < TIMESTAMP '{LOADED_UNTIL} 00:00:00'""",
+    "commit_history": f"""
+        WITH commits AS (
+          SELECT CASE WHEN ts < TIMESTAMP '{FIRST_UNTIL} 00:00:00' THEN 1 ELSE 2 END AS commit,
+                 count(DISTINCT archive) AS added_files, count(*) AS added_records
+          FROM ({EVENT_ARCHIVES_SQL}) WHERE ts < TIMESTAMP '{LOADED_UNTIL} 00:00:00' GROUP BY 1)
+        SELECT 'events' AS target_table, CAST(commit AS BIGINT) AS commit, 'append' AS operation, added_files, added_records,
+               CAST(sum(added_records) OVER (ORDER BY commit) AS BIGINT) AS total_records
+        FROM commits""",
+    "latest_total_records": f"SELECT count(*) AS total_rows FROM events WHERE ts < TIMESTAMP '{LOADED_UNTIL} 00:00:00'",
     "load_log_rows": f"""
         SELECT archive || '.zip' AS source_name, 'events' AS target_table, 'processed' AS status,
                count(*) AS n_rows, true AS is_stamped
         FROM ({EVENT_ARCHIVES_SQL}) GROUP BY archive""",
     "ingest_fan_in": EVENTS_SQL,
     "registered_table": "SELECT event_type, count(*) AS n_events FROM events GROUP BY event_type",
-    "ingest_fan_out": "SELECT 'events_' || event_type AS target_table, count(*) AS n_rows FROM events GROUP BY event_type",
+    "ingest_fan_out": """
+        SELECT 'events_' || event_type AS target_table, count(*) AS n_rows, count(DISTINCT event_id) AS n_events
+        FROM events GROUP BY event_type""",
+    "ingest_documents": "SELECT * REPLACE (coalesce(text, '') AS text) FROM documents",
     "ingest_rerun_idempotent": """
         SELECT count(*) AS n_rows, count(DISTINCT event_id) AS n_events, CAST(0 AS BIGINT) AS second_run FROM events""",
     "ingest_schema_merge": f"""
@@ -225,9 +290,10 @@ ORACLES = {
                CASE WHEN day(ts) % 5 IN (1, 3, 4) THEN true END AS has_size
         FROM ({EVENT_ARCHIVES_SQL})""",
     "run_summary": f"""
-        SELECT count(DISTINCT archive) AS found, CAST(0 AS BIGINT) AS processed,
-               count(DISTINCT archive) FILTER (day(ts) % 5 <> 2) AS skipped,
+        SELECT run, count(DISTINCT archive) AS found,
+               count(DISTINCT archive) FILTER (run = 1 AND day(ts) % 5 > 2) AS processed,
+               count(DISTINCT archive) FILTER (day(ts) % 5 < 2 OR run = 2 AND day(ts) % 5 > 2) AS skipped,
                count(DISTINCT archive) FILTER (day(ts) % 5 = 2) AS failed,
                count(DISTINCT archive) FILTER (day(ts) % 5 > 2) AS logged
-        FROM ({EVENT_ARCHIVES_SQL})""",
+        FROM ({EVENT_ARCHIVES_SQL}), (VALUES (1), (2)) r(run) GROUP BY run""",
 }

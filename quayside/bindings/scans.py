@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quayside.bindings.common import scratch_namespace, table
@@ -16,6 +16,7 @@ from quayside.sources.listing import list_files, path_exists
 from quayside.sources.text_objects import containing, read_text_objects
 
 NEEDLE = "track(7"
+PAGE_FOLDERS = 50
 OLD_HOST, NEW_HOST = ".example.com/", ".example/"
 OLD_LINK, NEW_LINK = 'href="/', 'href="/archive/'
 
@@ -106,19 +107,23 @@ def table_scan_by_path(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _pages_as_objects(spark: SparkSession, sf_dir: str) -> str:
-    """Each page as a text object of its own, written by the tasks."""
+    """Each page as a text object of its own, written by the tasks; the same names are found in many folders."""
     place = scratch_path(spark, "objects")
-    pages = table(spark, sf_dir, "pages").select(
-        F.concat("page_id", F.lit(".json")).alias("file_path"), F.col("html").alias("body")
-    )
-    path_rewrite.write_text_objects(pages.repartition(spark.sparkContext.defaultParallelism), place, ".json")
+    folder = F.pmod("page_id", F.lit(PAGE_FOLDERS))
+    name = F.concat(F.lit(f"{place}/"), folder, F.lit("/"), F.expr(f"page_id DIV {PAGE_FOLDERS}"), F.lit(".json"))
+    pages = table(spark, sf_dir, "pages").select(name.alias("file_path"), F.col("html").alias("body"))
+    path_rewrite.write_text_objects(pages.repartition(spark.sparkContext.defaultParallelism), place, ".json", place)
     return place
 
 
+def _page_id() -> Column:
+    part = lambda k: F.regexp_extract("file_path", r"([0-9]+)/([0-9]+)\.json$", k).cast("bigint")
+    return (part(2) * PAGE_FOLDERS + part(1)).alias("page_id")
+
+
 def text_objects_containing(spark: SparkSession, sf_dir: str) -> DataFrame:
     objects = read_text_objects(spark, _pages_as_objects(spark, sf_dir), "*.json")
-    page_id = F.regexp_extract("file_path", r"([0-9]+)\.json$", 1).cast("bigint").alias("page_id")
-    return containing(objects, NEEDLE).select(page_id, F.length("body").cast("bigint").alias("n_chars"))
+    return containing(objects, NEEDLE).select(_page_id(), F.length("body").cast("bigint").alias("n_chars"))
 
 
 def path_rewrite_objects(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -128,8 +133,7 @@ def path_rewrite_objects(spark: SparkSession, sf_dir: str) -> DataFrame:
     place = scratch_path(spark, "rewritten")
     path_rewrite.write_text_objects(fixed, place, ".json", before)
     again = read_text_objects(spark, place, "*.json")
-    page_id = F.regexp_extract("file_path", r"([0-9]+)\.json$", 1).cast("bigint").alias("page_id")
-    return again.select(page_id, "body")
+    return again.select(_page_id(), "body")
 
 
 def path_rewrite_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:

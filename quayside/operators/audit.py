@@ -34,15 +34,6 @@ def commit_history(log: DataFrame) -> DataFrame:
     ).orderBy(F.col("committed_at").desc(), F.col("load_id").desc())
 
 
-def latest_total_records(log: DataFrame) -> DataFrame:
-    """Rows per table after its latest commit; the running total ends in the overall sum."""
-    return (
-        log.where(F.col("status") == PROCESSED)
-        .groupBy("target_table")
-        .agg(F.max("loaded_at").alias("committed_at"), F.sum("n_rows").alias("total_rows"))
-    )
-
-
 def with_summary(history: DataFrame) -> DataFrame:
     """History with the counts as a text map, the way table formats report them."""
     counts = F.create_map(

@@ -24,11 +24,6 @@ def replaced(text: Column, old: str, new: str) -> Column:
     return F.when(text.contains(old), fixed).otherwise(text)
 
 
-def changed_only(frame: DataFrame, column: str, old: str) -> DataFrame:
-    """Rows a rewrite would touch."""
-    return frame.where(F.col(column).contains(old))
-
-
 def residual(frame: DataFrame, column: str, old: str) -> DataFrame:
     """One row: in how many rows ``old`` is still found; 0 after a rewrite."""
     return frame.agg(F.count_if(F.col(column).contains(old)).alias("residual"))

@@ -32,7 +32,7 @@ SAMPLE_ROWS = 50_000
 STAGE_ROW_GROUP = 32 << 20
 _FILE_SCHEMA = (
     "source string, target_table string, member string, header string, status string, error string, "
-    "member_bytes bigint, n_blocks bigint"
+    "member_bytes bigint, n_blocks bigint, n_lines bigint"
 )
 _LINE_SCHEMA = "source string, line string"
 # The file of a row until it is written: no header can have the name, as line breaks end its line.
@@ -136,8 +136,8 @@ class ArchiveLoader(Loader):
             return rows if damaged is None else without(rows, damaged, _FILE)
 
         rows = rows_of(1)
-        counts = rows.groupBy(F.col(_FILE).alias("source")).agg(F.count("*").alias("n_rows"))
-        counts = materialize(counts, "counts")
+        taken = opened.where(F.col("header").isin([json.dumps(h) for h in accepted]))
+        counts = taken.select("source", F.col("n_lines").alias("n_rows"))
         fixed = {name: data_type.simpleString() for name, data_type in declared.items()}
         types, misfits = self._find_types(rows_of, columns, fixed, counts)
         checked = counts.withColumn("target_table", F.lit(target))
@@ -168,11 +168,10 @@ class ArchiveLoader(Loader):
         total = counts.agg(F.sum("n_rows")).first()[0] or 0
         some = rows_of(min(1, SAMPLE_ROWS / max(total, 1)))
         seen = _masks_by_name(column_types.column_masks(some, _FILE, _quoted(new)), new) if new else {}
-        expected: dict[str, str | None] = {c: t for c, t in declared.items() if t != "string"}
-        held = list(expected)
-        if total > SAMPLE_ROWS:
-            guessed = {c: column_types.narrowest(mask) if mask else None for c, mask in seen.items()}
-            expected.update({c: t for c, t in guessed.items() if t != "string"})
+        held = [c for c, t in declared.items() if t != "string"]
+        guessed = {c: column_types.narrowest(mask) if mask else None for c, mask in seen.items()}
+        expected: dict[str, str | None] = {c: declared[c] for c in held}
+        expected.update({c: t for c, t in guessed.items() if t != "string"})
         misfits = None
         if expected:
             names = list(expected)

@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from quayside.plans import load_log
 from quayside.plans.loading import SOURCE_COLUMN, Loader, Tiers, merged_columns, reserved
-from quayside.session import materialize
+from quayside.session import materialize, read_or_empty, scratch_path
 from quayside.sources.archives import tasks_for
 from quayside.sources.columnar import read_footers, read_parquet
 from quayside.sources.delimited import quote
@@ -52,8 +52,13 @@ class ParquetLoader(Loader):
 
     def portions(self, load_id: str, pending: DataFrame, n_pending: int) -> Iterator[tuple[str, DataFrame]]:
         n = -(-n_pending // self.files_per_load)
-        for i in range(n):
-            yield f"{load_id}-{i}", pending.where(F.pmod(F.xxhash64("source"), F.lit(n)) == i)
+        if n:
+            # Written once, apart by portion, so that no portion repeats the listing and the look into the log.
+            dealt = pending.withColumn("portion", F.pmod(F.xxhash64("source"), F.lit(n)).cast("int"))
+            path = scratch_path(self.spark, "pending")
+            dealt.write.partitionBy("portion").parquet(path)
+            for i in range(n):
+                yield f"{load_id}-{i}", read_or_empty(self.spark, f"{path}/portion={i}", pending.schema)
 
     def load_files(self, load_id: str, files: DataFrame) -> DataFrame:
         spread = files.select("source").repartition(tasks_for(files, bytes_per_task=1 << 30))

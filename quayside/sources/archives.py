@@ -28,7 +28,7 @@ READ_BYTES = 8 << 20
 BLOCK_SCHEMA = (
     "source string, target_table string, kind string, target_key string, header_key string, "
     "first_line_no bigint, text string, member string, header string, status string, "
-    "error string, member_bytes bigint, n_blocks bigint"
+    "error string, member_bytes bigint, n_blocks bigint, n_lines bigint"
 )
 
 
@@ -164,16 +164,17 @@ def _read_member(handle, source: str, csv_format: CsvFormat, found: dict) -> Ite
 def read_archive(source: str, csv_format: CsvFormat) -> Iterator[dict]:
     """Rows of one archive: its blocks, then one row about the file. Never raises for a bad file."""
     found: dict = {}
-    n_blocks = 0
+    n_blocks = n_lines = 0
     try:
         store, path = open_store(source, csv_format.connection)
         with store.open_input_file(path) as handle:
             for block in _read_member(handle, source, csv_format, found):
                 yield {"kind": "line", "header_key": found["header_key"], "member": found["member"], **block}
                 n_blocks += 1
+                n_lines += sum(1 for line in block["text"].split("\n") if line.strip(" "))
     except Exception as error:  # one bad archive must not stop the others
         found.update(status="failed", error=f"{type(error).__name__}: {error}")
-    yield {"kind": "file", "n_blocks": n_blocks, **found, "header_key": "all"}
+    yield {"kind": "file", "n_blocks": n_blocks, "n_lines": n_lines, **found, "header_key": "all"}
 
 
 def open_archives(sources: DataFrame, csv_format: CsvFormat) -> DataFrame:

@@ -151,8 +151,8 @@ def test_data_files(spark, tmp_path):
     files = data_files(read_parquet(spark, str(tmp_path / "t"))).collect()
     assert sum(f["record_count"] for f in files) == 10
     sizes = {f.name: f.stat().st_size for f in (tmp_path / "t").glob("*.parquet")}
-    assert {f["file_path"].rsplit("/", 1)[1]: f["file_size_in_bytes"] for f in files} == {
-        n: s for n, s in sizes.items() if n in {f["file_path"].rsplit("/", 1)[1] for f in files}}
+    assert len(sizes) == 3
+    assert {f["file_path"].rsplit("/", 1)[1]: f["file_size_in_bytes"] for f in files} == sizes
 
 
 def test_rewrite_objects_into_a_new_place(spark, tmp_path):
@@ -170,7 +170,6 @@ def test_rewrite_objects_into_a_new_place(spark, tmp_path):
     assert (tmp_path / "new" / "a.json").read_text() == bodies["a.json"].replace("old.host", "$new\\host")
     assert (tmp_path / "new" / "b.json").read_text() == bodies["b.json"]
     assert (tmp_path / "old" / "a.json").read_text() == bodies["a.json"]
-    assert path_rewrite.changed_only(objects, "body", "old.host").count() == 1
 
 
 def test_commit_history(spark):
@@ -183,8 +182,6 @@ def test_commit_history(spark):
     found = [(r["target_table"], r["load_id"], r["added_files"], r["total_records"])
              for r in audit.commit_history(log).collect()]
     assert found == [("t", "L3", 1, 18), ("u", "L2", 1, 1), ("t", "L1", 2, 11)]
-    totals = {r["target_table"]: r["total_rows"] for r in audit.latest_total_records(log).collect()}
-    assert totals == {"t": 18, "u": 1}
 
 
 def test_pending_and_loaded_are_complements(spark):
