@@ -61,7 +61,9 @@ def parquet_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _orders_by_month(spark: SparkSession, sf_dir: str) -> str:
     path = scratch_path(spark, "objects")
     month = F.date_format("o_orderdate", "'m'yyyy-MM").alias("month")
-    table(spark, sf_dir, "orders").select("*", month).write.partitionBy("month").parquet(path)
+    orders = table(spark, sf_dir, "orders").select("*", month)
+    # A task per month, or several months: without it each task would write a file for every month.
+    orders.repartition("month").write.partitionBy("month").parquet(path)
     return path
 
 
