@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -81,19 +82,29 @@ def repeated_words(tokens: Column) -> Column:
     return F.when(F.size(tokens) < 4, F.lit(0)).otherwise(let(tokens, of_words))
 
 
-def line_fails(line: Column, rules: LineRules) -> Column:
-    """Whether a line breaks the navigation, punctuation, shouting or boilerplate rule; blank lines break none."""
+def may_be_stale(text: Column, rules: LineRules) -> Column:
+    """Whether a text holds some boilerplate in any case; only then its lines are matched one by one."""
+    return let(F.lower(text), lambda low: reduce(Column.__or__, [F.contains(low, F.lit(b.lower())) for b in rules.boilerplate], F.lit(False)))
+
+
+def line_fails(line: Column, rules: LineRules, stale_text: Column) -> Column:
+    """Whether a line breaks the navigation, punctuation, shouting or boilerplate rule; blank lines break none.
+
+    ``stale_text`` is ``may_be_stale`` of its text. A rule's costly counts follow a cheap one that it implies.
+    """
     n_words = F.size(F.filter(F.split(line, _SPACES), lambda w: w != ""))
     separators = F.regexp_count(line, F.lit(r"(?:^|\s)(?:\||»|›|::|•)(?=\s|$)"))
     marked = F.regexp_count(line, F.lit(r"(?:[*#$%&|<>=~^]{2,}|[!?]{2,})(?=\s|$)"))
     letters = F.regexp_count(line, F.lit(r"\p{L}"))
     capitals = F.regexp_count(line, F.lit(r"\p{Lu}"))
     stale = F.rlike(line, F.lit("(?i)" + "|".join(_quoted(b) for b in rules.boilerplate)))
+    many_capitals = capitals > F.lit(rules.max_capitals * rules.min_letters)
+    shouts = (letters >= rules.min_letters) & (capitals > F.lit(rules.max_capitals) * letters)
     return (
         (separators > rules.max_separators)
-        | (marked > F.lit(rules.max_marked_words) * n_words)
-        | ((letters >= rules.min_letters) & (capitals > F.lit(rules.max_capitals) * letters))
-        | stale
+        | ((marked > 0) & (marked > F.lit(rules.max_marked_words) * n_words))
+        | (many_capitals & shouts)
+        | (stale_text & stale)
     )
 
 
@@ -115,11 +126,12 @@ def quality_rules(docs: DataFrame, rules: LineRules = LineRules()) -> DataFrame:
         return F.char_length(F.regexp_replace(text, _SPACES, ""))
 
     def of_text(text: Column) -> Column:
-        return let(F.struct(text.alias("text"), words(text).alias("ws"), F.split(text, "\n").alias("ls")), of_parts)
+        parts = [text.alias("text"), words(text).alias("ws"), F.split(text, "\n").alias("ls"), may_be_stale(text, rules).alias("stale")]
+        return let(F.struct(*parts), of_parts)
 
     def of_parts(p: Column) -> Column:
         with_word = F.filter(p["ls"], lambda line: F.rlike(line, F.lit(f"[^{WHITE_SPACE}]")))
-        passing = F.filter(p["ls"], lambda line: ~line_fails(line, rules))
+        passing = F.filter(p["ls"], lambda line: ~line_fails(line, rules, p["stale"]))
         return F.struct(
             F.size(p["ws"]).cast("long").alias("n_words"),
             word_chars(p["text"]).cast("long").alias("word_chars"),
@@ -133,7 +145,8 @@ def quality_rules(docs: DataFrame, rules: LineRules = LineRules()) -> DataFrame:
     found = docs.withColumn("__f", of_text(F.coalesce(F.col("text"), F.lit(""))))
     f = F.col("__f")
     failed = (f["n_words"] < 50) | (100 * f["n_repeat_words"] > 50 * f["n_words"])
-    left = word_chars(f["cleaned_text"])
+    whole = f["cleaned_text"] == F.coalesce(F.col("text"), F.lit(""))
+    left = F.when(whole, f["word_chars"]).otherwise(word_chars(f["cleaned_text"]))
     verdict = ~failed & (left >= F.lit(1 - rules.max_lost) * f["word_chars"])
     old = [F.col(f"`{c}`") for c in docs.columns if c not in names]
     return found.select(
