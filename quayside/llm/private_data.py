@@ -45,13 +45,15 @@ class Disclosure:
     """How terms are judged.
 
     A term t gives an entity e away as far as PMI(t; e) / IC(e): 1 when t is found only in documents
-    where e stands beside it, 0 when t is as common without e. Counts are of all documents.
+    where e stands beside it, 0 when t is as common without e. Counts are of all documents. Every entity
+    is judged; PMI takes p(e | t) as if t stood in ``prior`` more documents, in which e is as common as
+    anywhere, so few documents say less than many.
     """
 
     #: Words on either side of a mention that are held against it.
     window: int = 8
-    #: Documents in which term and entity must meet before their bond is estimated.
-    support: int = 3
+    #: Weight, in documents, of what is expected before any is counted.
+    prior: float = 4.5
     #: From here on a term is generalised, and from ``remove`` on removed.
     generalise: float = 0.6
     remove: float = 0.85
@@ -208,13 +210,14 @@ def disclosing_pairs(docs: DataFrame, mentions: DataFrame, rule: Disclosure) ->
         F.transform("beside", lambda b: F.struct(b["entity"].alias("entity"), b["term"].alias("term")))
     )).alias("p"))
     pairs = near.groupBy("p.entity", "p.term").agg(F.count("*").alias("n_et"))
-    pairs = materialize(pairs.where(F.col("n_et") >= rule.support), "pairs")
+    pairs = materialize(pairs, "pairs")
     entities = mentions.select(F.explode(F.array_distinct(F.transform("beside", lambda b: b["entity"]))).alias("entity"))
-    n_e = entities.groupBy("entity").agg(F.count("*").alias("n_e")).where(F.col("n_e") >= rule.support)
+    n_e = entities.groupBy("entity").agg(F.count("*").alias("n_e"))
     n_t = _term_counts(docs, pairs.select("term"))
-    known = F.ln(F.lit(float(max(n_docs, 1))) / F.col("n_e"))
-    bond = F.ln(F.lit(float(max(n_docs, 1))) * F.col("n_et") / (F.col("n_t") * F.col("n_e")))
-    judged = pairs.join(n_e, "entity").join(n_t, "term").where(known > 0).withColumn("degree", bond / known)
+    share = F.col("n_e") / F.lit(float(max(n_docs, 1)))
+    given = (F.col("n_et") + rule.prior * share) / (F.col("n_t") + rule.prior)
+    degree = F.ln(given / share) / -F.ln(share)
+    judged = pairs.join(n_e, "entity").join(n_t, "term").where(share < 1).withColumn("degree", degree)
     level = F.when(F.col("degree") >= rule.remove, REMOVED).otherwise(GENERALISED)
     return judged.where(F.col("degree") >= rule.generalise).select("entity", "term", "n_et", level.alias("level"))
 

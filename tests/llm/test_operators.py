@@ -209,6 +209,18 @@ def test_terms_that_give_an_entity_away_are_removed(table_of):
     assert texts[101] == docs[7][1] and texts[7000] is None and texts[7001] == ""
 
 
+def test_terms_of_an_entity_in_one_document_are_judged(table_of):
+    docs = [(1, "the common zanzibari at envoy@example.org the words")]
+    docs += [(100 + k, "the common words at all texts") for k in range(300)]
+    found = {r.doc_id: spans(r) for r in private_data.all_spans(table_of(docs)).collect()}
+    assert found[1] == ["email:24:41", "term:11:20"] and found[100] == []
+
+
+def test_the_method_finds_terms_in_the_documents(spark):
+    found = queries.op6_private_data(spark, "/root/testdata/sf0.1")
+    assert found.where(found["spans"].rlike(f"{private_data.GENERALISED}|{private_data.REMOVED}")).count() > 0
+
+
 def check_packing(rows, size=2048):
     places = collections.defaultdict(list)
     for r in rows:
