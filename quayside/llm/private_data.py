@@ -13,7 +13,7 @@ from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
@@ -45,13 +45,11 @@ class Disclosure:
     """How terms are judged.
 
     A term t gives an entity e away as far as PMI(t; e) / IC(e): 1 when t is found only in documents
-    where e stands beside it, 0 when t is as common without e. Counts are of all documents. Every entity
+    that hold e, 0 when t is as common without e. Counts are of whole documents, and of all. Every entity
     is judged; PMI takes p(e | t) as if t stood in ``prior`` more documents, in which e is as common as
     anywhere, so few documents say less than many.
     """
 
-    #: Words on either side of a mention that are held against it.
-    window: int = 8
     #: Weight, in documents, of what is expected before any is counted.
     prior: float = 4.5
     #: From here on a term is generalised, and from ``remove`` on removed.
@@ -115,62 +113,68 @@ def base_spans(text: str) -> list[Span]:
     return [*_emails(text), *ips, *cards, *phones]
 
 
-def beside(text: str, spans: list[Span], window: int) -> Iterator[tuple[str, str, int, int]]:
-    """(entity, term, start, end) for the words next to each mention, as far as no base data covers them."""
+def uncovered(text: str, spans: list[Span]) -> Iterator[tuple[str, int, int]]:
+    """(term, start, end) for the words of a text, as far as no base data covers them."""
     covered = sorted((start, end) for _, start, end in spans)
     starts = [start for start, _ in covered]
     # Furthest end of the spans up to each, so a word is held against all of them in one search.
     reach = list(accumulate((end for _, end in covered), max))
-    for _, start, end in spans:
-        entity = text[start:end].lower()
-        # As far as the words need: the text before is read in growing steps, the text behind by the matcher.
-        step = 16 * window
-        while True:
-            low = max(0, start - step)
-            left = [m for m in _TERM.finditer(text, low, start)]
-            if low == 0 or len(left) > window:
-                break
-            step *= 4
-        left = left[-window:]
-        right = []
-        for m in _TERM.finditer(text, end):
-            right.append(m)
-            if len(right) == window:
-                break
-        for m in (*left, *right):
-            before = bisect_left(starts, m.end())
-            if not before or reach[before - 1] <= m.start():
-                yield entity, m[0].lower(), m.start(), m.end()
+    for m in _TERM.finditer(text):
+        before = bisect_left(starts, m.end())
+        if not before or reach[before - 1] <= m.start():
+            yield m[0].lower(), m.start(), m.end()
+
+
+def _terms(text: str) -> set[str]:
+    return {word.lower() for word in set(_TERM.findall(text))}
 
 
 def _digest(text: str) -> bytes:
     return hashlib.blake2b(text.encode(), digest_size=16).digest()
 
 
-def find_mentions(docs: DataFrame, window: int) -> DataFrame:
-    """doc_id, spans (kind, start, end) and beside (entity, term, start, end) of each row; entities as hashes."""
-    place = [("start", T.IntegerType()), ("end", T.IntegerType())]
-    schema = spark_schema([
-        ("doc_id", docs.schema["doc_id"].dataType),
-        ("spans", T.ArrayType(spark_schema([("kind", T.StringType()), *place]))),
-        ("beside", T.ArrayType(spark_schema([("entity", T.BinaryType()), ("term", T.StringType()), *place]))),
-    ])
+_SPANS = T.ArrayType(spark_schema([("kind", T.StringType()), ("start", T.IntegerType()), ("end", T.IntegerType())]))
+
+
+def find_mentions(rows: DataFrame) -> DataFrame:
+    """rest, text, spans, entities (each once, as hashes) and terms of each packed row with base data, under a number of its own."""
+    schema = T.StructType([rows.schema["rest"], *spark_schema([
+        ("text", T.StringType()), ("spans", _SPANS), ("entities", T.ArrayType(T.BinaryType())), ("terms", T.ArrayType(T.StringType())),
+    ]).fields])
     arrow = to_arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch):
-                spans, near = [], []
-                for text in texts_of(part):
-                    own = base_spans(text or "")
-                    spans.append([{"kind": k, "start": a, "end": b} for k, a, b in own])
-                    near.append([
-                        {"entity": _digest(e), "term": t, "start": a, "end": b}
-                        for e, t, a, b in beside(text or "", own, window)
-                    ])
-                yield arrow_batch(arrow, {"doc_id": part.column("doc_id"), "spans": spans, "beside": near})
+                texts = texts_of(part)
+                own = [base_spans(text or "") for text in texts]
+                at = [i for i, found in enumerate(own) if found]
+                if not at:
+                    continue
+                yield arrow_batch(arrow, {
+                    "rest": part.column("rest").take(pa.array(at)).cast(arrow.field("rest").type),
+                    "text": [texts[i] for i in at],
+                    "spans": [[{"kind": k, "start": a, "end": b} for k, a, b in own[i]] for i in at],
+                    "entities": [list({_digest(texts[i][a:b].lower()) for _, a, b in own[i]}) for i in at],
+                    "terms": [list(_terms(texts[i])) for i in at],
+                })
+
+    found = rows.select("rest", "text").mapInArrow(run, schema)
+    return materialize(found.withColumn("row", F.monotonically_increasing_id()), "mentions")
+
+
+def without_mentions(rows: DataFrame) -> DataFrame:
+    """rest and text of the packed rows that have no base data; with those of ``find_mentions`` all rows."""
+    schema = T.StructType([rows.schema["rest"], T.StructField("text", T.StringType())])
+    arrow = to_arrow_schema(schema)
 
-    return docs.select("doc_id", "text").mapInArrow(run, schema)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch):
+                plain = part.filter(pa.array([not base_spans(text or "") for text in texts_of(part)]))
+                yield arrow_batch(arrow, {f.name: plain.column(f.name).cast(f.type) for f in arrow})
+
+    return rows.select("rest", "text").mapInArrow(run, schema)
 
 
 def _term_counts(docs: DataFrame, terms: DataFrame) -> DataFrame:
@@ -190,7 +194,7 @@ def _term_counts(docs: DataFrame, terms: DataFrame) -> DataFrame:
         for batch in batches:
             for part in slices(batch):
                 for text in texts_of(part):
-                    counts.update(set(_TERM.findall((text or "").lower())))
+                    counts.update(_terms(text or ""))
                 if len(counts) > 200_000:
                     yield flushed(counts, bits)
                     counts.clear()
@@ -203,75 +207,87 @@ def _term_counts(docs: DataFrame, terms: DataFrame) -> DataFrame:
     return docs.select("text").mapInArrow(run, schema).groupBy("term").agg(F.sum("n").alias("n_t"))
 
 
-def disclosing_pairs(docs: DataFrame, mentions: DataFrame, rule: Disclosure) -> DataFrame:
-    """entity, term, n_et and level (generalised or removed) for terms that give an entity away."""
-    n_docs = mentions.count()
-    near = mentions.select(F.explode(F.array_distinct(
-        F.transform("beside", lambda b: F.struct(b["entity"].alias("entity"), b["term"].alias("term")))
-    )).alias("p"))
-    pairs = near.groupBy("p.entity", "p.term").agg(F.count("*").alias("n_et"))
-    pairs = materialize(pairs, "pairs")
-    entities = mentions.select(F.explode(F.array_distinct(F.transform("beside", lambda b: b["entity"]))).alias("entity"))
-    n_e = entities.groupBy("entity").agg(F.count("*").alias("n_e"))
-    n_t = _term_counts(docs, pairs.select("term"))
+def _degree(n_et: Column, n_docs: int, rule: Disclosure) -> Column:
+    """PMI(t; e) / IC(e) for columns n_e and n_t, with p(e | t) shrunk; grows with ``n_et``."""
     share = F.col("n_e") / F.lit(float(max(n_docs, 1)))
-    given = (F.col("n_et") + rule.prior * share) / (F.col("n_t") + rule.prior)
-    degree = F.ln(given / share) / -F.ln(share)
-    judged = pairs.join(n_e, "entity").join(n_t, "term").where(share < 1).withColumn("degree", degree)
-    level = F.when(F.col("degree") >= rule.remove, REMOVED).otherwise(GENERALISED)
-    return judged.where(F.col("degree") >= rule.generalise).select("entity", "term", "n_et", level.alias("level"))
+    given = (n_et + rule.prior * share) / (F.col("n_t") + rule.prior)
+    return F.when(share < 1, F.ln(given / share) / -F.ln(share))
 
 
-def found_marks(docs: DataFrame, mentions: DataFrame, rule: Disclosure) -> DataFrame:
-    """doc_id and marks (entity, term, level): what gives an entity away beside its mentions in that document."""
-    pairs = materialize(disclosing_pairs(docs, mentions, rule), "disclosing")
-    near = materialize(mentions.where(F.size("beside") > 0).select("doc_id", F.explode(F.array_distinct(
-        F.transform("beside", lambda b: F.struct(b["entity"].alias("entity"), b["term"].alias("term")))
-    )).alias("p")).select("doc_id", "p.entity", "p.term"), "beside")
-    marked = attach(near, pairs, ["entity", "term"], "n_et", near.count())
-    return marked.where(F.col("doc_id").isNotNull()).groupBy(F.col("doc_id").alias("__id")).agg(
-        F.collect_set(F.struct("entity", "term", "level")).alias("marks")
+def _bundles(mentions: DataFrame) -> DataFrame:
+    """row, bundle and n_e: the entities that the very same rows hold are one bundle, as counts cannot tell them apart."""
+    held = materialize(mentions.select("row", F.explode("entities").alias("entity")), "entities")
+    of = held.groupBy("entity").agg(
+        F.count("*").alias("n_e"),
+        # Together as good as the set of rows itself.
+        F.struct(*[F.bit_xor(F.xxhash64("row", F.lit(seed))).alias(f"h{seed}") for seed in (1, 2)]).alias("bundle"),
     )
+    named = attach(held, materialize(of, "bundles"), ["entity"], "n_e", held.count())
+    return named.select("row", F.struct("n_e", "bundle.h1", "bundle.h2").alias("bundle"), "n_e").distinct()
+
+
+def found_marks(docs: DataFrame, mentions: DataFrame, rule: Disclosure) -> DataFrame:
+    """row and marks (term, level): the terms, anywhere in a row, that give away an entity which the row holds."""
+    n_docs = docs.count()
+    terms = materialize(mentions.select("row", F.explode("terms").alias("term")), "terms")
+    here = materialize(terms.groupBy("term").agg(F.count("*").alias("n_here")), "terms-here")
+    n_t = materialize(_term_counts(docs, here).join(here, "term"), "term-counts")
+    counted = attach(terms, n_t, ["term"], "n_here", terms.count())
+    # What no count of shared documents could bring to the least degree is left out here, nothing else.
+    most = _degree(F.least("n_e", "n_t"), n_docs, rule)
+    met = _bundles(mentions).join(counted, "row").where(most >= rule.generalise)
+    met = materialize(met.select("row", "bundle", "n_e", "term", "n_t"), "met")
+    level = F.when(F.col("degree") >= rule.remove, REMOVED).otherwise(GENERALISED)
+    judged = met.groupBy("bundle", "term").agg(F.count("*").alias("n_et"), F.first("n_e").alias("n_e"), F.first("n_t").alias("n_t"))
+    judged = judged.withColumn("degree", _degree(F.col("n_et"), n_docs, rule)).where(F.col("degree") >= rule.generalise)
+    judged = materialize(judged.select("bundle", "term", "n_et", level.alias("level")), "disclosing")
+    marked = attach(met.select("row", "bundle", "term"), judged, ["bundle", "term"], "n_et", met.count())
+    return marked.groupBy("row").agg(F.collect_set(F.struct("term", "level")).alias("marks"))
+
+
+def _with_marks(docs: DataFrame, mentions: DataFrame, rule: Disclosure) -> DataFrame:
+    """rest, text, spans and marks of the rows with base data; a null doc_id has no marks."""
+    marked = mentions.where(F.col("rest.doc_id").isNotNull()).select("row")
+    marks = found_marks(docs, mentions, rule).join(marked, "row", "left_semi")
+    return mentions.join(marks, "row", "left").select("rest", "text", "spans", "marks")
+
+
+def _spans_of(batch: pa.RecordBatch) -> Iterator[tuple[str, list[Span]]]:
+    """Text and all spans of each row of ``_with_marks``: base data first, then the method's."""
+    for text, spans, marks in zip(*(batch.column(c).to_pylist() for c in ("text", "spans", "marks"))):
+        own = [(s["kind"], s["start"], s["end"]) for s in spans]
+        yield text, own + _added(text, own, marks or [])
 
 
 def all_spans(docs: DataFrame, rule: Disclosure = Disclosure()) -> DataFrame:
-    """doc_id and spans of every row: base data first, then the method's, each kind by start. Texts stay where they are.
+    """doc_id and spans of every row: base data first, then the method's, each kind by start. Texts without base data stay where they are.
 
-    A null or empty text has no spans. Every row is a document to the counts; rows of one doc_id share what
-    gives their entities away; a null doc_id has base spans only. No rows, no rows; other columns are not
-    read.
+    A null or empty text has no spans. Every row is a document to the counts and is marked for the entities
+    it holds itself; a null doc_id has base spans only. No rows, no rows; other columns are not read.
     """
-    mentions = materialize(find_mentions(docs, rule.window), "mentions")
-    marks = found_marks(docs, mentions, rule)
-    kind = mentions.schema["spans"].dataType
-    joined = mentions.withColumn("__id", F.col("doc_id")).join(marks, "__id", "left")
-    schema = spark_schema([("doc_id", mentions.schema["doc_id"].dataType), ("spans", kind)])
+    rows = packed(docs.select("doc_id", "text"))
+    mentions = find_mentions(rows)
+    schema = spark_schema([("doc_id", docs.schema["doc_id"].dataType), ("spans", _SPANS)])
     arrow = to_arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = []
-            for spans, near, own in zip(*(batch.column(c).to_pylist() for c in ("spans", "beside", "marks"))):
-                if own:
-                    near = [(b["entity"], b["term"], b["start"], b["end"]) for b in near]
-                    spans = spans + [{"kind": k, "start": a, "end": b} for k, a, b in _added(near, own)]
-                out.append(spans)
-            yield arrow_batch(arrow, {"doc_id": batch.column("doc_id"), "spans": out})
+            for part in slices(batch):
+                spans = [[{"kind": k, "start": a, "end": b} for k, a, b in own] for _, own in _spans_of(part)]
+                yield arrow_batch(arrow, {"doc_id": part.column("doc_id"), "spans": spans})
 
-    return joined.select("doc_id", "spans", "beside", "marks").mapInArrow(run, schema)
+    marked = _with_marks(docs, mentions, rule).select(F.col("rest.doc_id").alias("doc_id"), "text", "spans", "marks")
+    others = without_mentions(rows).select("rest.doc_id", F.array().cast(_SPANS).alias("spans"))
+    return marked.mapInArrow(run, schema).unionByName(others)
 
 
-def _added(near, marks) -> list[Span]:
+def _added(text: str, own: list[Span], marks) -> list[Span]:
     """Spans of marked terms, by kind and start; a term that two entities mark takes the stronger level."""
-    level: dict[tuple, str] = {}
-    for mark in marks:
-        key = (mark["entity"], mark["term"])
-        level[key] = max(level.get(key, ""), mark["level"], key=lambda x: KINDS.index(x) if x else -1)
-    spans: dict[tuple[int, int], str] = {}
-    for entity, term, start, end in near:
-        if (entity, term) in level:
-            spans[start, end] = max(spans.get((start, end), ""), level[entity, term], key=lambda x: KINDS.index(x) if x else -1)
-    return sorted(((k, a, b) for (a, b), k in spans.items()), key=lambda s: (KINDS.index(s[0]), s[1]))
+    level: dict[str, str] = {}
+    for mark in sorted(marks, key=lambda mark: KINDS.index(mark["level"])):
+        level[mark["term"]] = mark["level"]
+    spans = [(level[term], start, end) for term, start, end in uncovered(text, own) if term in level] if level else []
+    return sorted(spans, key=lambda s: (KINDS.index(s[0]), s[1]))
 
 
 def _general(word: str) -> str:
@@ -302,25 +318,15 @@ def sanitise(docs: DataFrame, rule: Disclosure = Disclosure()) -> DataFrame:
 
     Null texts stay null, empty ones empty; other columns pass. See ``all_spans`` for the rest.
     """
-    mentions = materialize(find_mentions(docs, rule.window), "mentions")
-    marks = found_marks(docs, mentions, rule)
-    rows = packed(docs, F.col("doc_id").alias("__id")).join(marks, "__id", "left").select("rest", "text", "marks")
+    rows = packed(docs)
     schema = T.StructType([rest_field(docs), T.StructField("text", T.StringType())])
     arrow = to_arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch):
-                texts = []
-                for text, own in zip(texts_of(part), part.column("marks").to_pylist()):
-                    if text:
-                        spans = base_spans(text)
-                        if own:
-                            near = [(_digest(e), t, a, b) for e, t, a, b in beside(text, spans, rule.window)]
-                            spans += _added(near, own)
-                        text = sanitised(text, spans) if spans else text
-                    texts.append(text)
-                rest = part.column("rest").cast(arrow.field("rest").type)
-                yield arrow_batch(arrow, {"rest": rest, "text": texts})
-
-    return unpacked(rows.mapInArrow(run, schema), docs.columns)
+                texts = [sanitised(text, spans) for text, spans in _spans_of(part)]
+                yield arrow_batch(arrow, {"rest": part.column("rest").cast(arrow.field("rest").type), "text": texts})
+
+    changed = _with_marks(docs, find_mentions(rows), rule).mapInArrow(run, schema)
+    return unpacked(changed.unionByName(without_mentions(rows)), docs.columns)

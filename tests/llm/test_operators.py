@@ -216,6 +216,17 @@ def test_terms_of_an_entity_in_one_document_are_judged(table_of):
     assert found[1] == ["email:24:41", "term:11:20"] and found[100] == []
 
 
+def test_disclosing_terms_are_marked_in_the_whole_document(table_of):
+    far = "the common words at all texts " * 20
+    docs = [(k, f"Zanzibari {far}at envoy@example.org {far}the zanzibari") for k in range(8)]
+    docs += [(100 + k, far) for k in range(300)] + [(500, f"zanzibari {far}")]
+    found = {r.doc_id: spans(r) for r in private_data.all_spans(table_of(docs)).collect()}
+    text = docs[3][1]
+    marked = [text[int(a):int(b)] for kind, a, b in (s.split(":") for s in found[3]) if kind != "email"]
+    assert marked == ["Zanzibari", "zanzibari"]
+    assert found[100] == found[500] == []
+
+
 def test_the_method_finds_terms_in_the_documents(spark):
     found = queries.op6_private_data(spark, "/root/testdata/sf0.1")
     assert found.where(found["spans"].rlike(f"{private_data.GENERALISED}|{private_data.REMOVED}")).count() > 0
