@@ -299,6 +299,12 @@ def test_quality_model_on_held_out_rows(spark, oracle):
     assert len(held) > 50 and np.mean([a == b for a, b in held]) > 0.95
 
 
+def test_the_worst_line_is_sought_in_the_whole_text():
+    at = quality_model.FEATURES.index("worst_line")
+    assert quality_model.statistics("a clean line\n##**!!ab\nthe last line")[at] == 0.75
+    assert quality_model.statistics("a clean line\n\nthe last line")[at] == 0.0
+
+
 def test_quality_model_of_odd_rows_and_without_labels(spark, table_of, odd):
     stats = quality_model.document_statistics(table_of([*odd, (None, "x")]))
     none = spark.createDataFrame([], "doc_id long, quality int")
