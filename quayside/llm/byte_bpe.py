@@ -6,6 +6,7 @@ import base64
 import functools
 import hashlib
 import heapq
+import re
 import unicodedata
 from collections.abc import Iterator, Sequence
 from itertools import chain
@@ -164,37 +165,66 @@ def replay_of(path: str) -> MergeReplay:
 
 
 @functools.cache
-def _known(path: str, pattern: str) -> tuple[dict[str, list[int]], set[str], set[str]]:
-    """Ids of known words; characters met; those of them that this Python's tables don't know."""
-    return {}, set(), set()
+def _known(path: str, pattern: str) -> tuple[dict[str, list[int]], set[str], dict[str, str]]:
+    """Ids of known words; characters met; those of them that this Python's tables don't know, with a stand-in."""
+    return {}, set(), {}
+
+
+_CLASS = re.compile(r"\\[pP](?:\{[^}]*\}|.)|\\[sSdDwW]")
+
+
+@functools.cache
+def _classes(pattern: str) -> list[tuple[regex.Pattern, tiktoken.Encoding]]:
+    """The character classes of a pattern, as both libraries read them."""
+    ranks = {bytes([b]): b for b in range(256)}
+    return [
+        (regex.compile(c), tiktoken.Encoding("class", pat_str=c, mergeable_ranks=ranks, special_tokens={}))
+        for c in sorted(set(_CLASS.findall(pattern)))
+    ]
 
 
 @functools.cache
-def _library(path: str, pattern: str) -> tiktoken.Encoding:
-    return tiktoken.Encoding("file", pat_str=pattern, mergeable_ranks=replay_of(path).ranks, special_tokens={})
+def _stand_in(pattern: str, classes: tuple[bool, ...]) -> str:
+    """A character that Python's tables know, in just these classes of the pattern and nowhere in it as itself."""
+    for c in map(chr, range(0x80, 0x110000)):
+        if unicodedata.category(c) not in ("Cn", "Cs") and c not in pattern:
+            if classes == tuple(bool(own.match(c)) for own, _ in _classes(pattern)):
+                return c
+    raise ValueError(f"no character stands in for one of classes {classes} of {pattern}")
+
+
+def _stand_ins(characters: list[str], pattern: str) -> dict[str, str]:
+    """For each character one that the pattern takes as tiktoken does this one."""
+    text = "".join(characters)
+    members = [set(bytes(library.encode_ordinary(text)).decode()) for _, library in _classes(pattern)]
+    return {c: _stand_in(pattern, tuple(c in m for m in members)) for c in characters}
 
 
 def encode_texts(texts: Sequence[str], path: str, pattern: str) -> Iterator[list[int]]:
     """Ids of each text. Words not met before by this worker are encoded together.
 
-    Libraries differ in the newest characters that they know as letters. A text with one that is unassigned
-    to Python's tables is left to the tiktoken library as a whole.
+    Libraries differ in the newest characters that they know as letters. For one that is unassigned to
+    Python's tables, tiktoken is asked for its classes, and the text is split with a stand-in of these.
     """
-    (known, met, newest), find = _known(path, pattern), regex.compile(pattern).findall
-    words = [find(text) for text in texts]
-    new = list(set(chain.from_iterable(words)).difference(known))
+    (known, met, newest), split = _known(path, pattern), regex.compile(pattern)
+    words = [split.findall(text) for text in texts]
+    new = set(chain.from_iterable(words)).difference(known)
+    characters = set("".join(new)).difference(met)
+    met |= characters
+    newest.update(_stand_ins([c for c in characters if unicodedata.category(c) == "Cn"], pattern))
+    if newest:
+        table = str.maketrans(newest)
+        for k, text in enumerate(texts):
+            if not newest.keys().isdisjoint(text):
+                words[k] = [text[m.start() : m.end()] for m in split.finditer(text.translate(table))]
+        new = set(chain.from_iterable(words)).difference(known)
     if len(known) + len(new) > KNOWN_WORDS:
         known.clear()
-        new = list(set(chain.from_iterable(words)))
+        new = set(chain.from_iterable(words))
+    new = list(new)
     known.update(zip(new, replay_of(path).encode([w.encode() for w in new])))
-    characters = set("".join(new)).difference(met)
-    met |= characters
-    newest.update(c for c in characters if unicodedata.category(c) == "Cn")
-    for text, own in zip(texts, words):
-        if newest and not newest.isdisjoint(text):
-            yield _library(path, pattern).encode_ordinary(text)
-        else:
-            yield list(chain.from_iterable(map(known.__getitem__, own)))
+    for own in words:
+        yield list(chain.from_iterable(map(known.__getitem__, own)))
 
 
 def encode_documents(docs: DataFrame, path: str, pattern: str) -> DataFrame:

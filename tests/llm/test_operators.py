@@ -144,6 +144,27 @@ def test_byte_bpe(spark, sf_dir, given, table_of, odd):
     assert byte_bpe.encode_documents(table_of([]), queries.BYTE_BPE, public_tokenizers.PATTERN).count() == 0
 
 
+def test_texts_with_the_newest_characters_go_through_the_merges(monkeypatch):
+    import unicodedata
+
+    import public_tokenizers
+    import regex
+    import tiktoken
+
+    path, pattern = queries.BYTE_BPE, public_tokenizers.PATTERN
+    newest = [chr(c) for c in range(0x80, 0x110000) if unicodedata.category(chr(c)) == "Cn"]
+    letters = [c for c in newest if regex.match(r"\p{L}", c)]
+    texts = [f"ab{c}cd {c}{c}x {c}1{c}" for c in [*letters[::97], *newest[::9973]]] + ["".join(letters[::31])]
+    library = tiktoken.Encoding("t", pat_str=pattern, mergeable_ranks=byte_bpe.replay_of(path).ranks, special_tokens={})
+    expected = [library.encode_ordinary(text) for text in texts]
+    encode, words = byte_bpe.MergeReplay.encode, set()
+    monkeypatch.setattr(byte_bpe.MergeReplay, "encode", lambda self, new: (words.update(new), encode(self, new))[1])
+    monkeypatch.setattr(tiktoken.Encoding, "encode_ordinary", lambda self, text: self._core_bpe.encode_ordinary(text) if self.name == "class" else None)
+    byte_bpe._known.cache_clear()
+    assert list(byte_bpe.encode_texts(texts, path, pattern)) == expected
+    assert any(len(w.decode()) == 1 and w.decode() in letters for w in words)
+
+
 def test_merges_that_make_pairs_of_lower_rank_stay_exact():
     import tiktoken
 
