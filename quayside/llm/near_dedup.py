@@ -110,13 +110,13 @@ def signatures(docs: DataFrame, plan: MinHash) -> DataFrame:
                 rows: dict[str, list] = {c: [] for c in arrow.names[1:]}
                 for text in bytes_of(part):
                     found = shingler(text)
-                    whole = xxhash.xxh3_128_digest(found.tobytes())
+                    h1, h2 = _halves(found.tobytes())
                     low = minima(found, factors, offsets)
                     with np.errstate(over="ignore"):
                         keys = _mix((_mix(low).reshape(plan.bands, plan.rows) * weights).sum(axis=1) + salts)
                     rows["n_shingles"].append(len(found))
-                    rows["h1"].append(int.from_bytes(whole[:8], "little", signed=True))
-                    rows["h2"].append(int.from_bytes(whole[8:], "little", signed=True))
+                    rows["h1"].append(h1)
+                    rows["h2"].append(h2)
                     rows["bands"].append(keys.view(np.int64) if len(found) else [])
                     rows["minima"].append((_mix(low) & np.uint64(255)).astype(np.uint8).tobytes())
                 yield arrow_batch(arrow, {"doc_id": part.column("doc_id")} | rows)
@@ -124,9 +124,17 @@ def signatures(docs: DataFrame, plan: MinHash) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(run, schema)
 
 
+def _halves(shingles: bytes) -> tuple[int, int]:
+    """The set's hash."""
+    whole = xxhash.xxh3_128_digest(shingles)
+    return int.from_bytes(whole[:8], "little", signed=True), int.from_bytes(whole[8:], "little", signed=True)
+
+
 def shingle_sets(docs: DataFrame, plan: MinHash) -> DataFrame:
-    """id and shingles (sorted 64-bit hashes as bytes) of each row."""
-    schema = spark_schema([("id", docs.schema["doc_id"].dataType), ("shingles", T.BinaryType())])
+    """doc_id, two halves of the set's hash and shingles (sorted 64-bit hashes as bytes) of each row."""
+    schema = spark_schema([
+        ("doc_id", docs.schema["doc_id"].dataType), ("h1", T.LongType()), ("h2", T.LongType()), ("shingles", T.BinaryType()),
+    ])
     arrow = to_arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -134,7 +142,8 @@ def shingle_sets(docs: DataFrame, plan: MinHash) -> DataFrame:
         for batch in batches:
             for part in slices(batch):
                 sets = [shingler(text).tobytes() for text in bytes_of(part)]
-                yield arrow_batch(arrow, {"id": part.column("doc_id"), "shingles": sets})
+                h1, h2 = zip(*map(_halves, sets))
+                yield arrow_batch(arrow, {"doc_id": part.column("doc_id"), "h1": h1, "h2": h2, "shingles": sets})
 
     return docs.select("doc_id", "text").mapInArrow(run, schema)
 
@@ -275,10 +284,26 @@ def _links_in_tiles(undecided: DataFrame, sets: DataFrame, plan: MinHash) -> Dat
     return _tiles(undecided.join(sets, "id")).mapInArrow(run, schema)
 
 
+def _shared_ids(some: DataFrame, classes: DataFrame) -> DataFrame:
+    """Edges (a, b) between classes that share a doc_id: from one of its classes to each other one."""
+    pair = F.struct("h1", "h2")
+    several = some.groupBy("doc_id").agg(F.min(pair).alias("low"), F.max(pair).alias("high")).where(F.col("low") != F.col("high"))
+    several = materialize(several.select("doc_id"), "several")
+    rows = some.select("doc_id", "h1", "h2").join(several, "doc_id", "left_semi").distinct()
+    copies = materialize(rows.groupBy("h1", "h2").agg(F.count("*").alias("n")), "shared-classes")
+    keys = materialize(copies.join(classes.select("h1", "h2", "id"), ["h1", "h2"]), "shared-numbers")
+    rows = materialize(rows, "shared-rows")
+    held = materialize(attach(rows, keys, ["h1", "h2"], "n", rows.count()).select("doc_id", "id"), "shared-ids")
+    first = materialize(held.groupBy("doc_id").agg(F.min("id").alias("a"), F.count("*").alias("m")), "shared-firsts")
+    edges = attach(held, first, ["doc_id"], "m", held.count()).where(F.col("a") != F.col("id"))
+    return edges.select("a", F.col("id").alias("b"))
+
+
 def near_duplicates(docs: DataFrame, plan: MinHash = MinHash()) -> DataFrame:
     """doc_id, n_shingles, component_id (smallest doc_id it reaches by links) and kept (it is that one), per row.
 
-    Texts of one shingle set are one class and go on as their smallest doc_id, so copies cost no pairs.
+    Texts of one shingle set are one class and go on under its number, so copies cost no pairs. Classes that
+    share a doc_id are linked by it.
     Classes that share a band key meet in a bucket. First all members are verified against the bucket's
     first. Then whatever members of a bucket are still in different components are compared in tiles, where
     an edge per member stands for all links found. So no link between components is lost that banding finds,
@@ -291,9 +316,9 @@ def near_duplicates(docs: DataFrame, plan: MinHash = MinHash()) -> DataFrame:
     signed = materialize(signatures(docs, plan), "signatures")
     some = signed.where((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull())
     classes = some.groupBy("h1", "h2").agg(
-        F.min("doc_id").alias("id"), F.count("*").alias("copies"), F.first("bands").alias("bands"), F.first("minima").alias("minima")
+        F.min("doc_id").alias("doc_id"), F.count("*").alias("copies"), F.first("bands").alias("bands"), F.first("minima").alias("minima")
     )
-    classes = materialize(classes, "classes")
+    classes = materialize(classes.withColumn("id", F.monotonically_increasing_id()), "classes")
 
     banded = classes.select("id", F.explode("bands").alias("key"))
     buckets = banded.groupBy("key").agg(F.count("*").alias("n"), F.min("id").alias("first"), F.max("id").alias("last"))
@@ -301,11 +326,12 @@ def near_duplicates(docs: DataFrame, plan: MinHash = MinHash()) -> DataFrame:
     members = salted(banded, buckets, ["key"], "id").select("key", "id")
     members = materialize(members, "members")
     linked = members.select("id").distinct()
-    minima_of = classes.groupBy("id").agg(F.first("minima").alias("minima"), F.first("bands").alias("bands"))
-    minima_of = minima_of.join(linked, "id", "left_semi")
-    minima_of = materialize(minima_of, "minima")
-    texts = docs.join(linked.select(F.col("id").alias("doc_id")), "doc_id", "left_semi")
-    sets = materialize(shingle_sets(texts, plan).dropDuplicates(["id"]), "sets")
+    minima_of = materialize(classes.join(linked, "id", "left_semi").select("id", "minima", "bands"), "minima")
+    wanted = materialize(classes.join(linked, "id", "left_semi").select("doc_id", "h1", "h2", "id"), "wanted")
+    texts = docs.join(wanted.select("doc_id").distinct(), "doc_id", "left_semi")
+    # Rows of one doc_id may be of several classes; rows of one class have the same set.
+    sets = shingle_sets(texts, plan).join(wanted, ["doc_id", "h1", "h2"]).select("id", "shingles")
+    sets = materialize(sets.dropDuplicates(["id"]), "sets")
 
     # Round one: every member against its bucket's first; that is all there is to a bucket of two.
     shared = attach(members, buckets, ["key"], "n", members.count())
@@ -321,12 +347,16 @@ def near_duplicates(docs: DataFrame, plan: MinHash = MinHash()) -> DataFrame:
     undecided = materialize(_undecided(members, materialize(opened, "open"), named, plan), "undecided")
     more = _links_in_tiles(undecided, sets, plan)
     joined = found.select(F.col("id").alias("a"), F.col("component").alias("b")).unionByName(more)
+    joined = joined.unionByName(_shared_ids(some, classes))
     found = materialize(components(joined, "a", "b"), "components")
 
-    named = classes.select("h1", "h2", "id", "copies").join(found, "id", "left").select(
-        "h1", "h2", "copies", F.coalesce("component", "id").alias("component_id")
+    named = classes.select("h1", "h2", "doc_id", "id", "copies").join(found, "id", "left").select(
+        "h1", "h2", "doc_id", "copies", F.coalesce("component", "id").alias("component")
     )
     named = materialize(named, "class-components")
+    lowest = named.groupBy("component").agg(F.min("doc_id").alias("component_id"), F.count("*").alias("size"))
+    named = attach(named, materialize(lowest, "lowest"), ["component"], "size", named.count())
+    named = materialize(named.select("h1", "h2", "copies", "component_id"), "named")
     rows = signed.select("doc_id", "n_shingles", "h1", "h2")
     inside = (F.col("n_shingles") > 0) & F.col("doc_id").isNotNull()
     joined = attach(rows.where(inside), named, ["h1", "h2"], "copies", rows.count())

@@ -51,6 +51,15 @@ def test_near_duplicates_of_null_ids_and_no_rows(table_of):
     assert near_dedup.near_duplicates(table_of([])).count() == 0
 
 
+def test_near_duplicates_of_a_doc_id_with_different_texts(table_of):
+    a, b, c = (" ".join(f"{x}{k}" for k in range(60)) for x in "abc")
+    near_b = b + " more"
+    # 1 has the texts a and b; 3 is near to its b, 2 equals its a; 7 and 8 are alike in c; 9 joins them by id.
+    docs = [(1, a), (1, b), (2, a), (3, near_b), (7, c), (8, c + " x"), (9, c + " y"), (9, "else " + a[:40]), (0, "no link at all")]
+    found = {(r.doc_id, r.component_id, r.kept) for r in near_dedup.near_duplicates(table_of(docs)).collect()}
+    assert found == {(0, 0, True), (1, 1, True), (2, 1, False), (3, 1, False), (7, 7, True), (8, 7, False), (9, 7, False)}
+
+
 def test_deduplicated_keeps_columns_and_one_of_each(table_of, odd):
     docs = table_of(odd)
     kept = near_dedup.deduplicated(docs)
