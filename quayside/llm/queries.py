@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quayside.llm import byte_bpe, line_dedup, line_rules, near_dedup, packing, private_data, quality_model, sharding
-from quayside.llm import token_files, vector_dedup
+from quayside.llm import byte_bpe, filter_audit, lexical_search, line_dedup, line_rules, near_dedup, packing, private_data
+from quayside.llm import quality_model, sharding, token_files, vector_dedup
 from quayside.llm.common import table
 from quayside.session import materialize
 
@@ -86,11 +86,23 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_rules.quality_rules(documents(spark, sf_dir)).drop("text", "cleaned_text")
 
 
+def op11_filter_interaction_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    return filter_audit.audit(docs, table(spark, sf_dir, "labels"))
+
+
+def op12_ranked_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search.ranked_documents(documents(spark, sf_dir), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_minhash_near_dedup, op2_rendezvous_sharding, op3_line_dedup, op4_byte_bpe, op5_token_files, op6_private_data,
-        op7_best_fit_packing, op8_quality_classifier, op9_vector_near_dedup, op10_quality_rules,
+        op7_best_fit_packing, op8_quality_classifier, op9_vector_near_dedup, op10_quality_rules, op11_filter_interaction_audit,
+        op12_ranked_lexical_search,
     )
 }
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op11_filter_interaction_audit": filter_audit.SQL, "op12_ranked_lexical_search": lexical_search.SQL,
+}
