@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quayside.llm import byte_bpe, filter_audit, lexical_search, line_dedup, line_rules, near_dedup, packing, private_data
-from quayside.llm import quality_model, sharding, token_files, vector_dedup
+from quayside.llm import quality_model, sharding, suffix_dedup, token_files, vector_dedup
 from quayside.llm.common import table
 from quayside.session import materialize
 
@@ -95,12 +95,16 @@ def op12_ranked_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lexical_search.ranked_documents(documents(spark, sf_dir), table(spark, sf_dir, "benchmark"))
 
 
+def op13_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.repeated_bytes(documents(spark, sf_dir))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_minhash_near_dedup, op2_rendezvous_sharding, op3_line_dedup, op4_byte_bpe, op5_token_files, op6_private_data,
         op7_best_fit_packing, op8_quality_classifier, op9_vector_near_dedup, op10_quality_rules, op11_filter_interaction_audit,
-        op12_ranked_lexical_search,
+        op12_ranked_lexical_search, op13_suffix_array_dedup,
     )
 }
 ORACLES: dict[str, str] = {

@@ -163,3 +163,24 @@ def near_vectors(rows, threshold=0.93):
                 links[ids[a]].add(ids[b])
     where = components([i for i, _, _ in rows], [(a, b) for a in links for b in links[a]])
     return sorted((i, len(links[i]), where[i], where[i] == i) for i, _, _ in rows)
+
+
+def repeats(docs, width=50):
+    """Every byte that a string of ``width`` bytes covers which also starts in a document with a smaller id."""
+    data = [(i, (t or "").encode()) for i, t in docs]
+    lowest = {}
+    for i, x in data:
+        for k in range(len(x) - width + 1):
+            s = x[k : k + width]
+            if i is not None and (s not in lowest or lowest[s] > i):
+                lowest[s] = i
+    out = []
+    for i, x in data:
+        gone = bytearray(len(x))
+        for k in range(len(x) - width + 1):
+            if i is not None and lowest[x[k : k + width]] < i:
+                gone[k : k + width] = b"\x01" * width
+        kept = bytes(c for c, g in zip(x, gone) if not g)
+        spans = sum(g and (k == 0 or not gone[k - 1]) for k, g in enumerate(gone))
+        out.append((i, len(x), sum(gone), spans, hashlib.sha256(kept).hexdigest()))
+    return out
