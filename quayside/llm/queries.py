@@ -109,4 +109,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 ORACLES: dict[str, str] = {
     "op11_filter_interaction_audit": filter_audit.SQL, "op12_ranked_lexical_search": lexical_search.SQL,
+    "op13_suffix_array_dedup": suffix_dedup.SQL,
 }
