@@ -48,6 +48,33 @@ def salted(rows: DataFrame, keys: DataFrame, on: Sequence[str], by: str, salts:
     return placed.join(repeated, [*on, "__salt"]).drop("__salt")
 
 
+class Bits:
+    """A set of whole numbers by their low bits: what was put in is found, and a few others with it.
+
+    Made in tasks by Spark's own bitmaps, so the driver and each task get ``size`` / 8 bytes, 32 MB at most: beyond
+    that more others are found, which costs time only.
+    """
+
+    LEAST, MOST = 1 << 20, 1 << 28
+
+    def __init__(self, rows: DataFrame, number: Column, n: int):
+        """Of ``n`` rows the column ``number`` (long)."""
+        self.size = min(self.MOST, max(self.LEAST, 1 << (16 * n).bit_length()))
+        place = (number.bitwiseAND(F.lit(self.size - 1)) + 1).alias("place")
+        maps = rows.select(place).groupBy(F.bitmap_bucket_number("place").alias("at")).agg(
+            F.bitmap_construct_agg(F.bitmap_bit_position("place")).alias("bits")
+        )
+        whole = np.zeros(self.size // 8, np.uint8)
+        for row in maps.toLocalIterator():
+            whole[(row["at"] - 1) * 4096 :][: 4096] = np.frombuffer(row["bits"], np.uint8)
+        self._shared = rows.sparkSession.sparkContext.broadcast(whole)
+
+    def has(self, numbers: np.ndarray) -> np.ndarray:
+        """Which of the numbers (signed or not) may be in the set; for use in tasks."""
+        at = numbers.view(np.uint64) & np.uint64(self.size - 1)
+        return (self._shared.value[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8) & 1).astype(bool)
+
+
 def packed(docs: DataFrame, *extra: Column) -> DataFrame:
     """``rest`` (all columns but the text), ``text`` and what else is named: no clash with names used in between."""
     rest = F.struct(*[docs[f"`{c}`"].alias(c) for c in docs.columns if c != "text"])

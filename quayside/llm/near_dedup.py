@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from quayside.llm.common import arrow_batch, attach, bytes_of, runs, salted, slices, spark_schema
+from quayside.llm.common import Bits, arrow_batch, attach, bytes_of, runs, salted, slices, spark_schema
 from quayside.llm.components import components, lowest_in_tile
 from quayside.session import materialize
 
@@ -130,8 +130,11 @@ def _halves(shingles: bytes) -> tuple[int, int]:
     return int.from_bytes(whole[:8], "little", signed=True), int.from_bytes(whole[8:], "little", signed=True)
 
 
-def shingle_sets(docs: DataFrame, plan: MinHash) -> DataFrame:
-    """doc_id, two halves of the set's hash and shingles (sorted 64-bit hashes as bytes) of each row."""
+def shingle_sets(docs: DataFrame, plan: MinHash, wanted: Bits) -> DataFrame:
+    """doc_id, two halves of the set's hash and shingles (sorted 64-bit hashes as bytes) of the rows whose doc_id is wanted.
+
+    Texts stay where they are; each set leaves its task once.
+    """
     schema = spark_schema([
         ("doc_id", docs.schema["doc_id"].dataType), ("h1", T.LongType()), ("h2", T.LongType()), ("shingles", T.BinaryType()),
     ])
@@ -140,12 +143,36 @@ def shingle_sets(docs: DataFrame, plan: MinHash) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler = Shingler(plan.shingle)
         for batch in batches:
-            for part in slices(batch):
+            batch = batch.filter(pa.array(wanted.has(batch.column("number").to_numpy())))
+            for part in slices(batch) if batch.num_rows else ():
                 sets = [shingler(text).tobytes() for text in bytes_of(part)]
                 h1, h2 = zip(*map(_halves, sets))
                 yield arrow_batch(arrow, {"doc_id": part.column("doc_id"), "h1": h1, "h2": h2, "shingles": sets})
 
-    return docs.select("doc_id", "text").mapInArrow(run, schema)
+    return docs.select("doc_id", "text", F.xxhash64("doc_id").alias("number")).mapInArrow(run, schema)
+
+
+def _meeting(classes: DataFrame, keys: Bits) -> DataFrame:
+    """Classes with a band key that may be one of the given ones, and these as ``keys``."""
+    schema = T.StructType([*classes.schema.fields, T.StructField("keys", T.ArrayType(T.LongType(), False))])
+    arrow = to_arrow_schema(schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            bands = batch.column("bands")
+            sizes = np.diff(bands.offsets.to_numpy())
+            every = bands.flatten().to_numpy()
+            found = keys.has(every)
+            row = np.repeat(np.arange(len(sizes)), sizes)[found]
+            own = np.bincount(row, minlength=len(sizes))
+            some = np.flatnonzero(own)
+            kept = pa.ListArray.from_arrays(np.concatenate([[0], np.cumsum(own[some])]).astype(np.int32), every[found])
+            few = batch.take(pa.array(some))
+            yield arrow_batch(arrow, {c: few.column(c).cast(arrow.field(c).type) for c in few.schema.names} | {"keys": kept.cast(arrow.field("keys").type)})
+
+    return classes.mapInArrow(run, schema)
 
 
 def _spread(pairs: DataFrame, bulk: DataFrame, side: str, value: str, name: str) -> DataFrame:
@@ -289,6 +316,8 @@ def _shared_ids(some: DataFrame, classes: DataFrame) -> DataFrame:
     pair = F.struct("h1", "h2")
     several = some.groupBy("doc_id").agg(F.min(pair).alias("low"), F.max(pair).alias("high")).where(F.col("low") != F.col("high"))
     several = materialize(several.select("doc_id"), "several")
+    if several.isEmpty():
+        return several.select(F.lit(0).cast("long").alias("a"), F.lit(0).cast("long").alias("b"))
     rows = some.select("doc_id", "h1", "h2").join(several, "doc_id", "left_semi").distinct()
     copies = materialize(rows.groupBy("h1", "h2").agg(F.count("*").alias("n")), "shared-classes")
     keys = materialize(copies.join(classes.select("h1", "h2", "id"), ["h1", "h2"]), "shared-numbers")
@@ -323,15 +352,17 @@ def near_duplicates(docs: DataFrame, plan: MinHash = MinHash()) -> DataFrame:
     banded = classes.select("id", F.explode("bands").alias("key"))
     buckets = banded.groupBy("key").agg(F.count("*").alias("n"), F.min("id").alias("first"), F.max("id").alias("last"))
     buckets = materialize(buckets.where(F.col("first") < F.col("last")).select("key", "n", "first"), "buckets")
-    members = salted(banded, buckets, ["key"], "id").select("key", "id")
+    # What is alone in all of its buckets is left behind before anything is joined.
+    met = materialize(_meeting(classes, Bits(buckets, F.col("key"), buckets.count())), "met")
+    members = salted(met.select("id", F.explode("keys").alias("key")), buckets, ["key"], "id").select("key", "id")
     members = materialize(members, "members")
     linked = members.select("id").distinct()
-    minima_of = materialize(classes.join(linked, "id", "left_semi").select("id", "minima", "bands"), "minima")
-    wanted = materialize(classes.join(linked, "id", "left_semi").select("doc_id", "h1", "h2", "id"), "wanted")
-    texts = docs.join(wanted.select("doc_id").distinct(), "doc_id", "left_semi")
-    # Rows of one doc_id may be of several classes; rows of one class have the same set.
-    sets = shingle_sets(texts, plan).join(wanted, ["doc_id", "h1", "h2"]).select("id", "shingles")
-    sets = materialize(sets.dropDuplicates(["id"]), "sets")
+    wanted = materialize(met.drop("keys").join(linked, "id", "left_semi"), "wanted")
+    minima_of = wanted.select("id", "minima", "bands")
+    ids = wanted.select("doc_id", "h1", "h2", "id")
+    # Rows of one doc_id may be of several classes; rows of one class have the same set, of which one goes on.
+    sets = shingle_sets(docs, plan, Bits(ids, F.xxhash64("doc_id"), ids.count())).dropDuplicates(["doc_id", "h1", "h2"])
+    sets = materialize(sets.join(ids, ["doc_id", "h1", "h2"]).select("id", "shingles"), "sets")
 
     # Round one: every member against its bucket's first; that is all there is to a bucket of two.
     shared = attach(members, buckets, ["key"], "n", members.count())
