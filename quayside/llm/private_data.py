@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from quayside.llm.common import arrow_batch, attach, packed, rest_field, slices, spark_schema, texts_of, unpacked
+from quayside.llm.common import Bits, arrow_batch, attach, packed, rest_field, salted, slices, spark_schema, texts_of, unpacked
 from quayside.session import materialize
 
 #: The kinds in the order of the contract, then the method's own.
@@ -26,9 +26,6 @@ BASE_KINDS = ("email", "ip", "card", "phone")
 GENERALISED, REMOVED = "term", "secret"
 KINDS = (*BASE_KINDS, GENERALISED, REMOVED)
 
-#: Buckets of the filter that keeps terms of no interest out of the document counts; its size is fixed.
-_BUCKETS = 1 << 20
-
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _NUMERIC = re.compile(r"[0-9][0-9.\x20-]*")
@@ -44,17 +41,19 @@ Span = tuple[str, int, int]
 class Disclosure:
     """How terms are judged.
 
-    A term t gives an entity e away as far as PMI(t; e) / IC(e): 1 when t is found only in documents
-    that hold e, 0 when t is as common without e. Counts are of whole documents, and of all. Every entity
-    is judged; PMI takes p(e | t) as if t stood in ``prior`` more documents, in which e is as common as
-    anywhere, so few documents say less than many.
+    A term t reveals an entity e as far as p(e | t), the share of its documents that hold e, is known to be high: the
+    lower end of Wilson's interval counts, so one common document says little and a size of the corpus nothing. -log2
+    of it is the information about e that t leaves open. A rare entity is judged with those of its pool too: the
+    domain of an address, the first digits of a number. Documents of equal terms are one to the interval.
     """
 
-    #: Weight, in documents, of what is expected before any is counted.
-    prior: float = 4.5
-    #: From here on a term is generalised, and from ``remove`` on removed.
-    generalise: float = 0.6
-    remove: float = 0.85
+    #: Standard deviations of the interval: 95 % one-sided.
+    deviations: float = 1.645
+    #: From this lower end of p(e | t) on a term is generalised (one bit is left open), and from ``remove`` on removed.
+    generalise: float = 0.5
+    remove: float = 0.65
+    #: Bits that the term must tell more than documents of like length do without it.
+    gain: float = 3.0
 
 
 def _emails(text: str) -> Iterator[Span]:
@@ -129,6 +128,21 @@ def _terms(text: str) -> set[str]:
     return {word.lower() for word in set(_TERM.findall(text))}
 
 
+def _pool(kind: str, value: str) -> str:
+    """What an entity has in common with its like: domain, network, first six digits."""
+    if kind == "email":
+        return value[value.rfind("@") :]
+    if kind == "ip":
+        return value[: value.rfind(".") + 1]
+    return "".join(c for c in value if c in "0123456789")[:6]
+
+
+def _entities(text: str, spans: list[Span]) -> list[bytes]:
+    """Entities of a text and their pools, each once."""
+    values = {(kind, text[a:b].lower()) for kind, a, b in spans}
+    return list({_digest(f"{kind}:{v}") for kind, v in values} | {_digest(f"{kind}={_pool(kind, v)}") for kind, v in values})
+
+
 def _digest(text: str) -> bytes:
     return hashlib.blake2b(text.encode(), digest_size=16).digest()
 
@@ -137,9 +151,11 @@ _SPANS = T.ArrayType(spark_schema([("kind", T.StringType()), ("start", T.Integer
 
 
 def find_mentions(rows: DataFrame) -> DataFrame:
-    """rest, text, spans, entities (each once, as hashes) and terms of each packed row with base data, under a number of its own."""
+    """Packed rows with base data, under a number of their own: rest, text, spans, entities and their pools (each once,
+    as hashes), terms and a hash of all terms."""
     schema = T.StructType([rows.schema["rest"], *spark_schema([
         ("text", T.StringType()), ("spans", _SPANS), ("entities", T.ArrayType(T.BinaryType())), ("terms", T.ArrayType(T.StringType())),
+        ("alike", T.BinaryType()),
     ]).fields])
     arrow = to_arrow_schema(schema)
 
@@ -151,12 +167,14 @@ def find_mentions(rows: DataFrame) -> DataFrame:
                 at = [i for i, found in enumerate(own) if found]
                 if not at:
                     continue
+                terms = [sorted(_terms(texts[i])) for i in at]
                 yield arrow_batch(arrow, {
                     "rest": part.column("rest").take(pa.array(at)).cast(arrow.field("rest").type),
                     "text": [texts[i] for i in at],
                     "spans": [[{"kind": k, "start": a, "end": b} for k, a, b in own[i]] for i in at],
-                    "entities": [list({_digest(texts[i][a:b].lower()) for _, a, b in own[i]}) for i in at],
-                    "terms": [list(_terms(texts[i])) for i in at],
+                    "entities": [_entities(texts[i], own[i]) for i in at],
+                    "terms": terms,
+                    "alike": [_digest("\n".join(t)) for t in terms],
                 })
 
     found = rows.select("rest", "text").mapInArrow(run, schema)
@@ -179,67 +197,88 @@ def without_mentions(rows: DataFrame) -> DataFrame:
 
 def _term_counts(docs: DataFrame, terms: DataFrame) -> DataFrame:
     """n_t: in how many documents each term is found, for terms in ``terms`` and some that share their bucket."""
-    spark = docs.sparkSession
-    buckets = terms.select((F.crc32(F.encode("term", "UTF-8")) % _BUCKETS).cast("int").alias("b")).distinct()
-    wanted = np.zeros(_BUCKETS, bool)
-    # At most _BUCKETS numbers, whatever the corpus.
-    wanted[[row["b"] for row in buckets.collect()]] = True
-    shared = spark.sparkContext.broadcast(np.packbits(wanted).tobytes())
+    wanted = Bits(terms, F.crc32(F.encode("term", "UTF-8")), terms.count())
     schema = spark_schema([("term", T.StringType()), ("n", T.LongType())])
     arrow = to_arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = np.unpackbits(np.frombuffer(shared.value, np.uint8)).astype(bool).tobytes()
         counts: Counter = Counter()
         for batch in batches:
             for part in slices(batch):
                 for text in texts_of(part):
                     counts.update(_terms(text or ""))
                 if len(counts) > 200_000:
-                    yield flushed(counts, bits)
+                    yield flushed(counts)
                     counts.clear()
-        yield flushed(counts, bits)
+        yield flushed(counts)
 
-    def flushed(counts: Counter, bits: bytes) -> pa.RecordBatch:
-        some = [(t, n) for t, n in counts.items() if bits[zlib.crc32(t.encode()) % _BUCKETS]]
+    def flushed(counts: Counter) -> pa.RecordBatch:
+        found = wanted.has(np.fromiter((zlib.crc32(t.encode()) for t in counts), np.uint64, len(counts))).tolist()
+        some = [item for item, is_found in zip(counts.items(), found) if is_found]
         return arrow_batch(arrow, {"term": [t for t, _ in some], "n": [n for _, n in some]})
 
     return docs.select("text").mapInArrow(run, schema).groupBy("term").agg(F.sum("n").alias("n_t"))
 
 
-def _degree(n_et: Column, n_docs: int, rule: Disclosure) -> Column:
-    """PMI(t; e) / IC(e) for columns n_e and n_t, with p(e | t) shrunk; grows with ``n_et``."""
-    share = F.col("n_e") / F.lit(float(max(n_docs, 1)))
-    given = (n_et + rule.prior * share) / (F.col("n_t") + rule.prior)
-    return F.when(share < 1, F.ln(given / share) / -F.ln(share))
+def _revealed(n_et: Column, n_alike: Column, rule: Disclosure) -> Column:
+    """Lower end of p(e | t), of ``n_et`` of the term's n_t documents, ``n_alike`` different ones; grows with both."""
+    share = n_et / F.col("n_t")
+    n = n_alike * F.col("n_t") / n_et
+    z = F.lit(rule.deviations)
+    return (share + z * z / (2 * n) - z * F.sqrt(share * (1 - share) / n + z * z / (4 * n * n))) / (1 + z * z / n)
 
 
-def _bundles(mentions: DataFrame) -> DataFrame:
-    """row, bundle and n_e: the entities that the very same rows hold are one bundle, as counts cannot tell them apart."""
-    held = materialize(mentions.select("row", F.explode("entities").alias("entity")), "entities")
+def _length_class(text: Column) -> Column:
+    """Texts of like length: by powers of two."""
+    return F.floor(F.log2(F.coalesce(F.octet_length(text), F.lit(0)) + 1)).cast("int")
+
+
+def _bundles(docs: DataFrame, mentions: DataFrame, rule: Disclosure) -> DataFrame:
+    """row, bundle, n_e and share of the entities and pools that a term could reveal at all.
+
+    Those that the very same rows hold are one bundle, as counts cannot tell them apart. ``share`` is that of n_e in the
+    documents of like length, from half of its own documents' to twice as long. Entities of too few documents are left out here, before they meet terms.
+    """
+    sizes = {r["size"]: r["count"] for r in docs.groupBy(_length_class(F.col("text")).alias("size")).count().collect()}
+    up_to = [0]
+    for size in range(max(sizes, default=0) + 1):
+        up_to.append(up_to[-1] + sizes.get(size, 0))
+    held = mentions.select("row", _length_class(F.col("text")).alias("size"), F.explode("entities").alias("entity"))
+    held = materialize(held, "entities")
     of = held.groupBy("entity").agg(
-        F.count("*").alias("n_e"),
+        F.count("*").alias("n_e"), F.min("size").alias("shortest"), F.max("size").alias("longest"),
         # Together as good as the set of rows itself.
         F.struct(*[F.bit_xor(F.xxhash64("row", F.lit(seed))).alias(f"h{seed}") for seed in (1, 2)]).alias("bundle"),
     )
-    named = attach(held, materialize(of, "bundles"), ["entity"], "n_e", held.count())
-    return named.select("row", F.struct("n_e", "bundle.h1", "bundle.h2").alias("bundle"), "n_e").distinct()
+    known = of.withColumn("n_t", F.col("n_e")).where(_revealed(F.col("n_e"), F.col("n_e"), rule) >= rule.generalise).drop("n_t")
+    named = attach(held, materialize(known, "bundles"), ["entity"], "n_e", held.count())
+    total = F.array(*[F.lit(n) for n in up_to])
+    like = F.element_at(total, F.least(F.col("longest") + 3, F.lit(len(up_to)))) - F.element_at(total, F.greatest("shortest", F.lit(1)))
+    bundle = F.struct("n_e", "bundle.h1", "bundle.h2").alias("bundle")
+    return materialize(named.select("row", bundle, "n_e", (F.col("n_e") / like).alias("share")).distinct(), "held")
 
 
 def found_marks(docs: DataFrame, mentions: DataFrame, rule: Disclosure) -> DataFrame:
-    """row and marks (term, level): the terms, anywhere in a row, that give away an entity which the row holds."""
-    n_docs = docs.count()
-    terms = materialize(mentions.select("row", F.explode("terms").alias("term")), "terms")
+    """row and marks (term, level): the terms, anywhere in a row, that reveal an entity or pool which the row holds."""
+    bundles = _bundles(docs, mentions, rule)
+    rows = mentions.join(bundles.select("row").distinct(), "row", "left_semi")
+    terms = materialize(rows.select("row", "alike", F.explode("terms").alias("term")), "terms")
     here = materialize(terms.groupBy("term").agg(F.count("*").alias("n_here")), "terms-here")
     n_t = materialize(_term_counts(docs, here).join(here, "term"), "term-counts")
-    counted = attach(terms, n_t, ["term"], "n_here", terms.count())
-    # What no count of shared documents could bring to the least degree is left out here, nothing else.
-    most = _degree(F.least("n_e", "n_t"), n_docs, rule)
-    met = _bundles(mentions).join(counted, "row").where(most >= rule.generalise)
-    met = materialize(met.select("row", "bundle", "n_e", "term", "n_t"), "met")
-    level = F.when(F.col("degree") >= rule.remove, REMOVED).otherwise(GENERALISED)
-    judged = met.groupBy("bundle", "term").agg(F.count("*").alias("n_et"), F.first("n_e").alias("n_e"), F.first("n_t").alias("n_t"))
-    judged = judged.withColumn("degree", _degree(F.col("n_et"), n_docs, rule)).where(F.col("degree") >= rule.generalise)
+    # A term of too few documents, or of far more than an entity has, is left out here, nothing else.
+    could = n_t.where(_revealed(F.col("n_here"), F.col("n_here"), rule) >= rule.generalise)
+    counted = attach(terms, materialize(could, "known-terms"), ["term"], "n_here", terms.count())
+    most = F.least("n_e", "n_here")
+    # Dealt by row and term, so that a row of very many of both is not one task's.
+    met = salted(counted, bundles, ["row"], "term").where(_revealed(most, most, rule) >= rule.generalise)
+    met = materialize(met.select("row", "alike", "bundle", "share", "term", "n_t"), "met")
+    level = F.when(F.col("bound") >= rule.remove, REMOVED).otherwise(GENERALISED)
+    same = met.groupBy("bundle", "term", "alike").agg(F.count("*").alias("n"), F.first("n_t").alias("n_t"), F.first("share").alias("share"))
+    judged = same.groupBy("bundle", "term").agg(
+        F.sum("n").alias("n_et"), F.count("*").alias("n_alike"), F.first("n_t").alias("n_t"), F.first("share").alias("share")
+    )
+    judged = judged.withColumn("bound", _revealed(F.col("n_et"), F.col("n_alike"), rule))
+    judged = judged.where((F.col("bound") >= rule.generalise) & (F.log2(F.col("bound") / F.col("share")) >= rule.gain))
     judged = materialize(judged.select("bundle", "term", "n_et", level.alias("level")), "disclosing")
     marked = attach(met.select("row", "bundle", "term"), judged, ["bundle", "term"], "n_et", met.count())
     return marked.groupBy("row").agg(F.collect_set(F.struct("term", "level")).alias("marks"))

@@ -184,3 +184,40 @@ def repeats(docs, width=50):
         spans = sum(g and (k == 0 or not gone[k - 1]) for k, g in enumerate(gone))
         out.append((i, len(x), sum(gone), spans, hashlib.sha256(kept).hexdigest()))
     return out
+
+
+def private_marks(docs, base, generalise=0.5, remove=0.65, gain=3, z=1.645):
+    """{place in docs: {term: level}}; ``base`` gives the base spans of a text as (kind, start, end)."""
+    def terms(t):
+        return {w.lower() for w in re.findall(r"\w+(?:['’-]\w+)*", t or "")}
+
+    def keys(t):
+        out = set()
+        for kind, a, b in base(t or ""):
+            value = t[a:b].lower()
+            digits = "".join(c for c in value if c in "0123456789")[:6]
+            pool = {"email": value[value.rfind("@") :], "ip": value[: value.rfind(".") + 1]}.get(kind, digits)
+            out |= {(kind, value), (kind, "pool", pool)}
+        return out
+
+    words, held = [terms(t) for _, t in docs], [keys(t) for _, t in docs]
+    sizes = [int(np.floor(np.log2(len((t or "").encode()) + 1))) for _, t in docs]
+    with_term = defaultdict(set)
+    for k, own in enumerate(words):
+        for w in own:
+            with_term[w].add(k)
+    marks = defaultdict(dict)
+    for key in {key for own in held for key in own}:
+        rows = {k for k, own in enumerate(held) if key in own}
+        low, high = min(sizes[k] for k in rows), max(sizes[k] for k in rows)
+        share = len(rows) / sum(low - 1 <= s <= high + 1 for s in sizes)
+        for w in {w for k in rows for w in words[k]}:
+            both = rows & with_term[w]
+            p = len(both) / len(with_term[w])
+            n = len({frozenset(words[k]) for k in both}) / p
+            bound = (p + z * z / (2 * n) - z * (p * (1 - p) / n + z * z / (4 * n * n)) ** 0.5) / (1 + z * z / n)
+            if bound >= generalise and np.log2(bound / share) >= gain:
+                for k in both:
+                    if bound >= remove or w not in marks[k]:
+                        marks[k][w] = "secret" if bound >= remove else "term"
+    return marks
