@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator, Sequence
+import contextlib
+import ctypes
+from collections.abc import Callable, Iterable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -41,11 +43,24 @@ def attach(rows: DataFrame, keys: DataFrame, on: Sequence[str], size: str, total
 def salted(rows: DataFrame, keys: DataFrame, on: Sequence[str], by: str, salts: int = 16) -> DataFrame:
     """Join many ``rows`` with far fewer ``keys``, one row per key; each key's rows are dealt to ``salts`` places by ``by``.
 
-    Keys are repeated for each place. What a key still holds too much of, adaptive execution splits.
+    Keys are repeated for each place, and never broadcast, as their size before that tells nothing. What a key still
+    holds too much of, adaptive execution splits.
     """
     placed = rows.withColumn("__salt", F.pmod(F.xxhash64(by), F.lit(salts)).cast("int"))
     repeated = keys.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return placed.join(repeated, [*on, "__salt"]).drop("__salt")
+    return placed.join(repeated.hint("merge"), [*on, "__salt"]).drop("__salt")
+
+
+def tidy(run: Callable) -> Callable:
+    """A function of batches that gives the memory of its task back to the system, as workers go on to other stages."""
+
+    def tidied(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        pa.default_memory_pool().release_unused()
+        with contextlib.suppress(OSError, AttributeError):  # a C library without it
+            ctypes.CDLL(None).malloc_trim(0)
+
+    return tidied
 
 
 class Bits:

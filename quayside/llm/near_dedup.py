@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from quayside.llm.common import Bits, arrow_batch, attach, bytes_of, runs, salted, slices, spark_schema
+from quayside.llm.common import Bits, arrow_batch, attach, bytes_of, runs, salted, slices, spark_schema, tidy
 from quayside.llm.components import components, lowest_in_tile
 from quayside.session import materialize
 
@@ -121,7 +121,7 @@ def signatures(docs: DataFrame, plan: MinHash) -> DataFrame:
                     rows["minima"].append((_mix(low) & np.uint64(255)).astype(np.uint8).tobytes())
                 yield arrow_batch(arrow, {"doc_id": part.column("doc_id")} | rows)
 
-    return docs.select("doc_id", "text").mapInArrow(run, schema)
+    return docs.select("doc_id", "text").mapInArrow(tidy(run), schema)
 
 
 def _halves(shingles: bytes) -> tuple[int, int]:
@@ -149,7 +149,7 @@ def shingle_sets(docs: DataFrame, plan: MinHash, wanted: Bits) -> DataFrame:
                 h1, h2 = zip(*map(_halves, sets))
                 yield arrow_batch(arrow, {"doc_id": part.column("doc_id"), "h1": h1, "h2": h2, "shingles": sets})
 
-    return docs.select("doc_id", "text", F.xxhash64("doc_id").alias("number")).mapInArrow(run, schema)
+    return docs.select("doc_id", "text", F.xxhash64("doc_id").alias("number")).mapInArrow(tidy(run), schema)
 
 
 def _meeting(classes: DataFrame, keys: Bits) -> DataFrame:
@@ -172,7 +172,7 @@ def _meeting(classes: DataFrame, keys: Bits) -> DataFrame:
             few = batch.take(pa.array(some))
             yield arrow_batch(arrow, {c: few.column(c).cast(arrow.field(c).type) for c in few.schema.names} | {"keys": kept.cast(arrow.field("keys").type)})
 
-    return classes.mapInArrow(run, schema)
+    return classes.mapInArrow(tidy(run), schema)
 
 
 def _spread(pairs: DataFrame, bulk: DataFrame, side: str, value: str, name: str) -> DataFrame:
@@ -265,7 +265,7 @@ def _undecided(members: DataFrame, opened: DataFrame, named: DataFrame, plan: Mi
                 some[i] |= len(near) > 0
             yield from tile.select(schema.names).filter(pa.array(some)).to_batches()
 
-    return _tiles(tiles).mapInArrow(run, schema)
+    return _tiles(tiles).mapInArrow(tidy(run), schema)
 
 
 def common_shingles(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray, columns: int = 4096) -> np.ndarray:
@@ -308,7 +308,7 @@ def _links_in_tiles(undecided: DataFrame, sets: DataFrame, plan: MinHash) -> Dat
             name = lowest_in_tile(ids, left, right, linked)
             yield arrow_batch(arrow, {"a": name[name != ids], "b": ids[name != ids]})
 
-    return _tiles(undecided.join(sets, "id")).mapInArrow(run, schema)
+    return _tiles(undecided.join(sets, "id")).mapInArrow(tidy(run), schema)
 
 
 def _shared_ids(some: DataFrame, classes: DataFrame) -> DataFrame:

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from quayside.llm.common import Bits, arrow_batch, attach, packed, rest_field, salted, slices, spark_schema, texts_of, unpacked
+from quayside.llm.common import Bits, arrow_batch, attach, packed, rest_field, salted, slices, spark_schema, texts_of, tidy, unpacked
 from quayside.session import materialize
 
 #: The kinds in the order of the contract, then the method's own.
@@ -177,7 +177,7 @@ def find_mentions(rows: DataFrame) -> DataFrame:
                     "alike": [_digest("\n".join(t)) for t in terms],
                 })
 
-    found = rows.select("rest", "text").mapInArrow(run, schema)
+    found = rows.select("rest", "text").mapInArrow(tidy(run), schema)
     return materialize(found.withColumn("row", F.monotonically_increasing_id()), "mentions")
 
 
@@ -192,7 +192,7 @@ def without_mentions(rows: DataFrame) -> DataFrame:
                 plain = part.filter(pa.array([not base_spans(text or "") for text in texts_of(part)]))
                 yield arrow_batch(arrow, {f.name: plain.column(f.name).cast(f.type) for f in arrow})
 
-    return rows.select("rest", "text").mapInArrow(run, schema)
+    return rows.select("rest", "text").mapInArrow(tidy(run), schema)
 
 
 def _term_counts(docs: DataFrame, terms: DataFrame) -> DataFrame:
@@ -217,7 +217,7 @@ def _term_counts(docs: DataFrame, terms: DataFrame) -> DataFrame:
         some = [item for item, is_found in zip(counts.items(), found) if is_found]
         return arrow_batch(arrow, {"term": [t for t, _ in some], "n": [n for _, n in some]})
 
-    return docs.select("text").mapInArrow(run, schema).groupBy("term").agg(F.sum("n").alias("n_t"))
+    return docs.select("text").mapInArrow(tidy(run), schema).groupBy("term").agg(F.sum("n").alias("n_t"))
 
 
 def _revealed(n_et: Column, n_alike: Column, rule: Disclosure) -> Column:
@@ -317,7 +317,7 @@ def all_spans(docs: DataFrame, rule: Disclosure = Disclosure()) -> DataFrame:
 
     marked = _with_marks(docs, mentions, rule).select(F.col("rest.doc_id").alias("doc_id"), "text", "spans", "marks")
     others = without_mentions(rows).select("rest.doc_id", F.array().cast(_SPANS).alias("spans"))
-    return marked.mapInArrow(run, schema).unionByName(others)
+    return marked.mapInArrow(tidy(run), schema).unionByName(others)
 
 
 def _added(text: str, own: list[Span], marks) -> list[Span]:
@@ -367,5 +367,5 @@ def sanitise(docs: DataFrame, rule: Disclosure = Disclosure()) -> DataFrame:
                 texts = [sanitised(text, spans) for text, spans in _spans_of(part)]
                 yield arrow_batch(arrow, {"rest": part.column("rest").cast(arrow.field("rest").type), "text": texts})
 
-    changed = _with_marks(docs, find_mentions(rows), rule).mapInArrow(run, schema)
+    changed = _with_marks(docs, find_mentions(rows), rule).mapInArrow(tidy(run), schema)
     return unpacked(changed.unionByName(without_mentions(rows)), docs.columns)
