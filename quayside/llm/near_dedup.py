@@ -397,10 +397,25 @@ def near_duplicates(docs: DataFrame, plan: MinHash = MinHash()) -> DataFrame:
     return joined.unionByName(alone).withColumn("kept", kept)
 
 
+def _parted(docs: DataFrame, ids: Bits, inside: bool) -> DataFrame:
+    """The documents whose doc_id may be in a set, or those whose is not."""
+    rows = docs.select(F.struct(*[docs[f"`{c}`"].alias(c) for c in docs.columns]).alias("row"), F.xxhash64(docs["doc_id"]).alias("number"))
+    schema = T.StructType([rows.schema["row"]])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.select(["row"]).filter(pa.array(ids.has(batch.column("number").to_numpy()) == inside))
+
+    return rows.mapInArrow(tidy(run), schema).select("row.*")
+
+
 def deduplicated(docs: DataFrame, plan: MinHash = MinHash()) -> DataFrame:
     """The documents that stay: one of each component, and every one without links. Repeated rows of one kept doc_id stay.
 
-    Rows with a null doc_id, which cannot be told apart, stay. Only the decisions are shuffled with the texts' rows.
+    Rows with a null doc_id, which cannot be told apart, stay. Texts stay where they are, but for those that go and a few
+    others that a bit set does not tell from them.
     """
     drop = near_duplicates(docs, plan).where(~F.col("kept") & F.col("doc_id").isNotNull()).select("doc_id").distinct()
-    return docs.join(drop, "doc_id", "left_anti").select(*[docs[f"`{c}`"] for c in docs.columns])
+    drop = materialize(drop, "dropped")
+    ids = Bits(drop, F.xxhash64("doc_id"), drop.count())
+    return _parted(docs, ids, False).unionByName(_parted(docs, ids, True).join(drop, "doc_id", "left_anti").select(*[f"`{c}`" for c in docs.columns]))
