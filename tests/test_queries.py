@@ -26,3 +26,16 @@ def test_entry(spark):
     assert __spark_entry__.entry(spark).count() > 0
     assert set(registry.QUERIES) <= set(__spark_entry__.queries())
     assert set(registry.QUERIES) <= set(__spark_entry__.oracle_sql()) <= set(__spark_entry__.queries())
+
+
+def test_plain_queries_do_without_packages_of_the_others(monkeypatch):
+    import sys
+
+    import __spark_entry__
+
+    for name in [m for m in sys.modules if m == "corpus_pipeline" or m.startswith("quayside.llm")]:
+        monkeypatch.delitem(sys.modules, name)
+    for name in ("public_tokenizers", "xxhash"):
+        monkeypatch.setitem(sys.modules, name, None)
+    with pytest.warns(UserWarning, match="no queries for training data"):
+        assert set(__spark_entry__.queries()) == set(registry.QUERIES)
