@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import os
 import re
 from collections.abc import Mapping
 
 from pyarrow import fs
+from pyspark.sql import SparkSession
 
 # Reader option -> connection argument of the task-side S3 client.
 S3_ARGUMENTS = {
@@ -17,6 +19,17 @@ S3_ARGUMENTS = {
 }
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """A path as Spark's listings give it: with its scheme, one slash after ``file:``, none at the end."""
+    match = re.match(r"([A-Za-z][A-Za-z0-9+.-]*):(.*)", path, re.DOTALL)
+    if not match:
+        root = spark.conf.get("spark.hadoop.fs.defaultFS", "file:///")
+        path = f"{root.rstrip('/')}/{path.lstrip('/')}" if not root.startswith("file:") else f"file:{os.path.abspath(path)}"
+        match = re.match(r"([^:]+):(.*)", path, re.DOTALL)
+    scheme, rest = match[1], match[2].rstrip("/") or "/"
+    return f"file:/{rest.lstrip('/')}" if scheme == "file" else f"{scheme}:{rest}"
+
+
 def open_store(path: str, connection: Mapping[str, str] | None = None) -> tuple[fs.FileSystem, str]:
     """File system and the path inside it, for a path as Spark's listing gives it.
 

@@ -211,3 +211,38 @@ def test_session(spark):
     with session_settings(spark, {key: "3"}):
         assert spark.conf.get(key) == "3"
     assert spark.conf.get(key) == before
+
+
+def test_listing_is_that_of_spark(spark, tmp_path):
+    """Many levels, odd and hidden names, empty folders: the same rows as Spark's own file index."""
+    names = ["a.zip", "b.ZIP", "c d%20#é.zip", "_hidden.zip", ".dot.zip", "_metadata.zip", "_k=1.zip", "x.zip._COPYING_", "e.txt"]
+    for folder in ("", "m=1", "m=1/d=2", "m=2/d=3/h=4", "_temporary/0", ".git", "sub folder"):
+        (tmp_path / folder).mkdir(parents=True, exist_ok=True)
+        for name in names:
+            (tmp_path / folder / name).write_text(folder + name)
+    (tmp_path / "empty").mkdir()
+    for glob in ("*.zip", "[a-c]*", "{a,e}.*", "?.zip", "*"):
+        for recursive in (False, True):
+            index = spark.read.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", "true")
+            own = index.load(str(tmp_path)).select("path", "length", "modificationTime").collect()
+            expected = {tuple(r) for r in own if recursive or r.path.rsplit("/", 1)[0] == f"file:{tmp_path}"}
+            found = list_files(spark, str(tmp_path), glob, recursive)
+            assert {tuple(r) for r in found.select("source", "n_bytes", "modified_at").collect()} == expected
+    assert list_files(spark, f"file://{tmp_path}/empty").count() == 0
+    assert list_files(spark, str(tmp_path / "a.zip"), "*.zip").first()["source"] == f"file:{tmp_path}/a.zip"
+    with pytest.raises(Exception, match="FileNotFoundError"):
+        list_files(spark, str(tmp_path / "nothing"))
+
+
+def test_listing_of_many_folders_is_dealt_to_tasks(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    for k in range(300):
+        (tmp_path / f"day={k}").mkdir()
+        (tmp_path / f"day={k}" / f"{k}.parquet").write_text("x")
+    folders = spark.createDataFrame([(f"file:{tmp_path}/day={k}",) for k in range(300)], "source string").repartition(8)
+    from quayside.sources.listing import list_folders
+
+    tasks = list_folders(folders, None, {}).groupBy(F.spark_partition_id()).count().collect()
+    assert len(tasks) == 8 and sum(r["count"] for r in tasks) == 300
+    assert list_files(spark, str(tmp_path), "*.parquet", recursive=True).count() == 300
