@@ -45,6 +45,20 @@ def already_loaded_files(discovered: DataFrame, log: DataFrame) -> DataFrame:
     return discovered.join(log.where(F.col("status") == PROCESSED).select(*KEY), KEY, "left_semi")
 
 
+def due_again(log: DataFrame, after: float, at_most: float = 86_400.0) -> DataFrame:
+    """Files whose last try failed, as listed rows, once they have waited long enough: ``after`` seconds, twice as long
+    after each further failure, a day at most."""
+    last = F.struct("loaded_at", "load_id")
+    tried = log.groupBy(*KEY).agg(
+        F.max_by("status", last).alias("status"), F.max_by("source_name", last).alias("source_name"),
+        F.max_by("n_bytes", last).alias("n_bytes"), F.max("loaded_at").alias("tried_at"),
+        F.count_if(F.col("status") == FAILED).alias("n_failed"),
+    )
+    wait = F.least(F.lit(float(after)) * F.pow(F.lit(2.0), F.col("n_failed") - 1), F.lit(float(at_most)))
+    waited = F.current_timestamp().cast("double") - F.col("tried_at").cast("double")
+    return tried.where((F.col("status") == FAILED) & (waited >= wait)).select("source", "source_name", "n_bytes", "target_table")
+
+
 def log_rows(files: DataFrame) -> DataFrame:
     """Files with their outcome as log rows, stamped with the time of the query."""
     return files.withColumn("loaded_at", F.current_timestamp())

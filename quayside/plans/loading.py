@@ -20,6 +20,7 @@ from pyspark.sql import types as T
 from quayside.operators import tables
 from quayside.plans import load_log
 from quayside.plans.load_log import LoadLog
+from quayside.session import materialize
 from quayside.sources.delimited import quote
 
 SOURCE_COLUMN = "_source"
@@ -101,6 +102,16 @@ class Loader:
             done.append(self.load(load_id))
         return self.summary(found, done, already)
 
+    def retry_failed(self, after: float) -> str | None:
+        """Load again what failed and has waited for ``after`` seconds or, after more failures, longer; the load's id, if any."""
+        again = materialize(load_log.due_again(self.log.outcomes(), after), "again")
+        combined, n_files = load_log.fingerprint(again)
+        if not n_files:
+            return None
+        load_id = f"L{self.log.state()[0]}-{self.job}-{combined}"
+        self.log.write_intents(load_id, again)
+        return self.load(load_id)
+
     def load(self, load_id: str) -> str:
         """Run, or run again, one announced load."""
         intents = self.log.intents(load_id)

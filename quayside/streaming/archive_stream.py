@@ -21,12 +21,14 @@ BINARY_FILE = "path string, modificationTime timestamp, length bigint, content b
 
 def start_archive_stream(
     loader: ArchiveLoader, checkpoint: str, query_name: str, trigger: dict | None = None,
-    files_per_batch: int | None = None,
+    files_per_batch: int | None = None, retry_after: float = 600.0,
 ) -> StreamingQuery:
     """Start loading new archives of the raw area; by default take what is there and stop.
 
-    Failed files are not offered by the stream again; ``loader.run()`` tries them again.
+    The file source offers a path once. Files that failed are tried again from the log, when the stream starts and in each
+    micro-batch, as soon as ``retry_after`` seconds have gone by since, twice as many after each further failure.
     """
+    loader.retry_failed(retry_after)
     reader = loader.spark.readStream.format("binaryFile").schema(BINARY_FILE).option("pathGlobFilter", ARCHIVES)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
@@ -42,7 +44,9 @@ def start_archive_stream(
         load_id = f"S{query_name}-{loader.job}-{query_id}-{batch_id}"
         files = loader.assign_targets(batch)
         done_before = loader.log.outcomes().where(F.col("load_id") != load_id)
-        loader.log.write_intents(load_id, load_log.pending_files(files, done_before))
+        again = load_log.due_again(done_before, retry_after).join(files.select(*load_log.KEY), load_log.KEY, "left_anti")
+        offered = load_log.pending_files(files, done_before).select(*again.columns).unionByName(again)
+        loader.log.write_intents(load_id, offered)
         loader.load(load_id)
 
     return (

@@ -94,3 +94,25 @@ def test_objects_of_one_name_keep_their_folders(spark, tmp_path, rows):
     write_text_objects(objects, str(tmp_path / "out"), ".json", str(tmp_path / "in"))
     for folder in ("a", "b c", "d%20e/f"):
         assert (tmp_path / "out" / folder / "v2.json").read_text() == folder
+
+
+def test_failed_files_wait_longer_each_time(spark):
+    """Due after the wait; twice as long after a second failure; never once a later try went well."""
+    from datetime import datetime, timedelta
+
+    from quayside.plans.load_log import due_again
+
+    def at(minutes):
+        return datetime.now() - timedelta(minutes=minutes)
+
+    rows = [
+        ("once", "failed", at(11), "1"), ("early", "failed", at(5), "1"), ("twice", "failed", at(40), "1"), ("twice", "failed", at(15), "2"),
+        ("long", "failed", at(60), "1"), ("long", "failed", at(25), "2"), ("mended", "failed", at(60), "1"), ("mended", "processed", at(30), "2"),
+        ("none", "no_csv", at(60), "1"), ("old", "failed", at(3000), "0"), *(("old", "failed", at(1500), str(k)) for k in range(1, 40)),
+    ]
+    log = spark.createDataFrame(
+        [(s, s, "t", status, 1, when, i) for s, status, when, i in rows],
+        "source string, source_name string, target_table string, status string, n_bytes bigint, loaded_at timestamp, load_id string",
+    )
+    assert {r["source"] for r in due_again(log, 600).collect()} == {"once", "long", "old"}
+    assert {r["source"] for r in due_again(log, 0).collect()} == {"once", "early", "twice", "long", "old"}
