@@ -2,16 +2,43 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quayside.plans.load_log import PROCESSED
+from quayside.session import materialize
+
+#: Rows that one task adds up in their order.
+BLOCK_ROWS = 1 << 20
+
+
+def running_total(
+    rows: DataFrame, by: Sequence[str], order: Sequence[str], value: str, name: str, block_rows: int = BLOCK_ROWS
+) -> DataFrame:
+    """Rows with the sum of ``value`` up to each, within ``by`` and in ``order``; a group may be larger than a task.
+
+    Rows are parted into ranges of about ``block_rows``. Sums of ranges are added up over the few ranges of a group,
+    and within a range from what lies before it. Null values count as 0. Rows of equal order share a total
+    where they lie in one range, so the order should tell all rows apart.
+    """
+    blocks = -(-rows.count() // block_rows) or 1
+    ranged = rows.repartitionByRange(blocks, *by, *order).withColumn("__block", F.spark_partition_id())
+    ranged = materialize(ranged, "ranges")
+    sums = ranged.groupBy(*by, "__block").agg(F.sum(value).alias("__own"))
+    earlier = Window.partitionBy(*by).orderBy("__block").rowsBetween(Window.unboundedPreceding, -1)
+    before = sums.withColumn("__before", F.coalesce(F.sum("__own").over(earlier), F.lit(0))).drop("__own")
+    inside = Window.partitionBy(*by, "__block").orderBy(*order)
+    total = F.col("__before") + F.coalesce(F.sum(value).over(inside), F.lit(0))
+    return ranged.join(before, [*by, "__block"]).withColumn(name, total).drop("__block", "__before")
 
 
-def commit_history(log: DataFrame) -> DataFrame:
+def commit_history(log: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """One row per load and table, newest first, with running ``total_records``.
 
-    Log rows are summed per commit first; the window then sees one row per commit of a table.
+    Log rows are summed per commit first; totals run over blocks of commits, so a table of any number of loads is
+    no single task's.
     """
     commits = (
         log.where(F.col("status") == PROCESSED)
@@ -22,15 +49,15 @@ def commit_history(log: DataFrame) -> DataFrame:
             F.sum("n_rows").alias("added_records"),
         )
     )
-    so_far = Window.partitionBy("target_table").orderBy("committed_at", "load_id")
-    return commits.select(
+    totals = running_total(commits, ["target_table"], ["committed_at", "load_id"], "added_records", "total_records", block_rows)
+    return totals.select(
         "target_table",
         "load_id",
         "committed_at",
         F.lit("append").alias("operation"),
         "added_files",
         "added_records",
-        F.sum("added_records").over(so_far).alias("total_records"),
+        "total_records",
     ).orderBy(F.col("committed_at").desc(), F.col("load_id").desc())
 
 

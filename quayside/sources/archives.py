@@ -54,12 +54,12 @@ class CsvFormat:
 
 def header_key(columns: list[str]) -> str:
     """Short name for a set of columns in this order; starts with a letter."""
-    return "h" + hashlib.md5(json.dumps(columns).encode()).hexdigest()[:16]
+    return "h" + hashlib.md5(json.dumps(columns).encode()).hexdigest()
 
 
 def target_key(target: str) -> str:
     """Short name for a table; starts with a letter."""
-    return "t" + hashlib.md5(target.encode()).hexdigest()[:16]
+    return "t" + hashlib.md5(target.encode()).hexdigest()
 
 
 def column_names(fields: list[str]) -> list[str]:

@@ -246,3 +246,36 @@ def test_listing_of_many_folders_is_dealt_to_tasks(spark, tmp_path):
     tasks = list_folders(folders, None, {}).groupBy(F.spark_partition_id()).count().collect()
     assert len(tasks) == 8 and sum(r["count"] for r in tasks) == 300
     assert list_files(spark, str(tmp_path), "*.parquet", recursive=True).count() == 300
+
+
+def test_running_totals_by_blocks(spark):
+    """A group of very many rows beside small ones, null values and ties of the first order column: as one window would add up."""
+    from pyspark.sql import Window
+
+    from quayside.operators.audit import running_total
+
+    rows = spark.range(50_000).select(
+        F.when(F.col("id") % 10 < 7, "big").otherwise(F.concat(F.lit("small"), F.col("id") % 90)).alias("k"),
+        (F.col("id") % 1000).alias("t"), F.hash("id").alias("u"), F.col("id").alias("id"),
+        F.when(F.col("id") % 11 > 0, F.col("id") % 17).alias("v"),
+    )
+    found = running_total(rows, ["k"], ["t", "u", "id"], "v", "total", block_rows=3_000)
+    window = F.coalesce(F.sum("v").over(Window.partitionBy("k").orderBy("t", "u", "id")), F.lit(0))
+    expected = rows.withColumn("total", window)
+    assert found.exceptAll(expected.select(found.columns)).isEmpty() and found.count() == 50_000
+    assert running_total(rows.limit(0), ["k"], ["t", "u", "id"], "v", "total").count() == 0
+
+
+def test_commit_history_of_very_many_loads(spark):
+    from quayside.operators.audit import commit_history
+
+    log = spark.range(200_000).select(
+        F.lit("t").alias("target_table"), F.concat(F.lit("L"), F.lpad(F.col("id").cast("string"), 9, "0")).alias("load_id"),
+        F.lit("processed").alias("status"), F.timestamp_seconds(F.col("id")).alias("loaded_at"), F.lit(2).cast("long").alias("n_rows"),
+    )
+    history = commit_history(log, block_rows=10_000)
+    totals = history.select("load_id", "total_records").agg(
+        F.max("total_records").alias("most"), F.count("*").alias("n"), F.count_distinct("total_records").alias("different")
+    ).first()
+    assert tuple(totals) == (400_000, 200_000, 200_000)
+    assert history.where(F.col("total_records") != 2 * (F.substring("load_id", 2, 9).cast("long") + 1)).isEmpty()
