@@ -40,15 +40,15 @@ def attach(rows: DataFrame, keys: DataFrame, on: Sequence[str], size: str, total
     return stay.unionByName(move)
 
 
-def salted(rows: DataFrame, keys: DataFrame, on: Sequence[str], by: str, salts: int = 16) -> DataFrame:
+def salted(rows: DataFrame, keys: DataFrame, on: Sequence[str], by: str, salts: int = 16, hint: str | None = None) -> DataFrame:
     """Join many ``rows`` with far fewer ``keys``, one row per key; each key's rows are dealt to ``salts`` places by ``by``.
 
-    Keys are repeated for each place, and never broadcast, as their size before that tells nothing. What a key still
-    holds too much of, adaptive execution splits.
+    Keys are repeated for each place. What a key still holds too much of, adaptive execution splits. ``hint`` names a
+    join, where the size of the keys before they are repeated tells too little.
     """
     placed = rows.withColumn("__salt", F.pmod(F.xxhash64(by), F.lit(salts)).cast("int"))
     repeated = keys.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return placed.join(repeated.hint("merge"), [*on, "__salt"]).drop("__salt")
+    return placed.join(repeated.hint(hint) if hint else repeated, [*on, "__salt"]).drop("__salt")
 
 
 def tidy(run: Callable) -> Callable:

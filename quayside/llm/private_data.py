@@ -270,7 +270,7 @@ def found_marks(docs: DataFrame, mentions: DataFrame, rule: Disclosure) -> DataF
     counted = attach(terms, materialize(could, "known-terms"), ["term"], "n_here", terms.count())
     most = F.least("n_e", "n_here")
     # Dealt by row and term, so that a row of very many of both is not one task's.
-    met = salted(counted, bundles, ["row"], "term").where(_revealed(most, most, rule) >= rule.generalise)
+    met = salted(counted, bundles, ["row"], "term", hint="merge").where(_revealed(most, most, rule) >= rule.generalise)
     met = materialize(met.select("row", "alike", "bundle", "share", "term", "n_t"), "met")
     level = F.when(F.col("bound") >= rule.remove, REMOVED).otherwise(GENERALISED)
     same = met.groupBy("bundle", "term", "alike").agg(F.count("*").alias("n"), F.first("n_t").alias("n_t"), F.first("share").alias("share"))
