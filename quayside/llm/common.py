@@ -80,8 +80,10 @@ class Bits:
             F.bitmap_construct_agg(F.bitmap_bit_position("place")).alias("bits")
         )
         whole = np.zeros(self.size // 8, np.uint8)
-        for row in maps.toLocalIterator():
-            whole[(row["at"] - 1) * 4096 :][: 4096] = np.frombuffer(row["bits"], np.uint8)
+        # At most 8,192 maps of 4 KB; in one job, as an iterator would run one for each partition.
+        found = maps.toArrow()
+        for at, bits in zip(found.column("at").to_numpy(), found.column("bits")):
+            whole[(at - 1) * 4096 :][: 4096] = np.frombuffer(bits.as_buffer(), np.uint8)
         self._shared = rows.sparkSession.sparkContext.broadcast(whole)
 
     def has(self, numbers: np.ndarray) -> np.ndarray:
