@@ -138,6 +138,18 @@ def path_rewrite_objects(spark: SparkSession, sf_dir: str) -> DataFrame:
     return again.select(_page_id(), "body")
 
 
+def path_rewrite_streamed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same copy in pieces of few bytes, and how often the old link, which the new one holds again, was and is found in each object."""
+    before, place = _pages_as_objects(spark, sf_dir), scratch_path(spark, "rewritten")
+    listed = list_files(spark, before, "*.json", recursive=True)
+    done = path_rewrite.rewrite_objects(listed, before, place, OLD_LINK, NEW_LINK, piece_bytes=64)
+    left = path_rewrite.count_in_objects(list_files(spark, place, "*.json", recursive=True), OLD_LINK, piece_bytes=64)
+    counts = done.withColumn("file_path", F.col("source")).select(_page_id(), "n_replaced")
+    left = left.withColumn("file_path", F.col("source")).select(_page_id(), F.col("n_found").alias("n_left"))
+    again = read_text_objects(spark, place, "*.json").select(_page_id(), "body")
+    return again.join(counts, "page_id").join(left, "page_id")
+
+
 def path_rewrite_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
     return path_rewrite.rewrite_paths(pages, "url", OLD_HOST, NEW_HOST)
@@ -163,6 +175,7 @@ QUERIES = {
     "text_objects_containing": text_objects_containing,
     "path_rewrite": path_rewrite_manifest,
     "path_rewrite_objects": path_rewrite_objects,
+    "path_rewrite_streamed": path_rewrite_streamed,
     "path_rewrite_residual": path_rewrite_residual,
 }
 
@@ -188,6 +201,12 @@ ORACLES = {
         SELECT page_id, length(html) AS n_chars FROM pages WHERE contains(html, '{NEEDLE}')""",
     "path_rewrite": f"SELECT page_id, replace(url, '{OLD_HOST}', '{NEW_HOST}') AS url FROM pages",
     "path_rewrite_objects": f"SELECT page_id, replace(html, '{OLD_LINK}', '{NEW_LINK}') AS body FROM pages",
+    "path_rewrite_streamed": f"""
+        SELECT page_id, replace(html, '{OLD_LINK}', '{NEW_LINK}') AS body,
+               (length(html) - length(replace(html, '{OLD_LINK}', ''))) // length('{OLD_LINK}') AS n_replaced,
+               (length(replace(html, '{OLD_LINK}', '{NEW_LINK}')) - length(replace(replace(html, '{OLD_LINK}', '{NEW_LINK}'), '{OLD_LINK}', '')))
+               // length('{OLD_LINK}') AS n_left
+        FROM pages""",
     "path_rewrite_residual": f"""
         SELECT 'before' AS stage, count(*) AS residual FROM pages WHERE contains(url, '{OLD_HOST}')
         UNION ALL SELECT 'after', 0""",

@@ -3,14 +3,19 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Iterator, Mapping
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quayside.functions.names import base_name, literal_pattern
-from quayside.sources.storage import open_store
+from quayside.session import materialize
+from quayside.sources.archives import tasks_for
+from quayside.sources.storage import open_store, qualified
+
+#: Bytes of an object that a task holds at a time.
+PIECE_BYTES = 8 << 20
 
 
 def rewrite_paths(frame: DataFrame, column: str, old: str, new: str) -> DataFrame:
@@ -62,3 +67,80 @@ def write_text_objects(objects: DataFrame, folder_uri: str, ending: str | None =
         named = named.where(F.col("name").endswith(ending))
     written = named.mapInArrow(write, "name string")
     written.write.format("noop").mode("overwrite").save()
+
+
+class Replacement:
+    """Replaces ``old`` in bytes that come in pieces, leftmost first, also where it lies across pieces; counts what it found."""
+
+    def __init__(self, old: str, new: str):
+        if not old:
+            raise ValueError("nothing to replace")
+        self.old, self.new = old.encode(), new.encode()
+        self.found = 0
+
+    def __call__(self, pieces: Iterator[bytes]) -> Iterator[bytes]:
+        held = b""
+        for piece in pieces:
+            parts = (held + piece).split(self.old)
+            self.found += len(parts) - 1
+            # The end may be the start of one more.
+            cut = max(0, len(parts[-1]) - len(self.old) + 1)
+            held = parts[-1][cut:]
+            parts[-1] = parts[-1][:cut]
+            yield self.new.join(parts)
+        yield held
+
+
+def rewrite_objects(
+    objects: DataFrame, root: str, folder_uri: str, old: str, new: str,
+    connection: Mapping[str, str] | None = None, piece_bytes: int = PIECE_BYTES,
+) -> DataFrame:
+    """Listed objects (``source``, ``n_bytes``) below ``root`` copied to another folder, each ``old`` in them replaced.
+
+    Gives ``source``, ``target``, ``n_bytes`` as written and ``n_replaced``. Objects go through a task in pieces, so one may be
+    larger than memory; the text is UTF-8, and bytes that are not are passed on. Each keeps its path below ``root``; one
+    that is not below it fails the job. Writing one again replaces it. The copy is made once, by this call.
+    """
+    return _through(objects, qualified(objects.sparkSession, root), folder_uri, old, new, connection, piece_bytes)
+
+
+def count_in_objects(
+    objects: DataFrame, old: str, connection: Mapping[str, str] | None = None, piece_bytes: int = PIECE_BYTES
+) -> DataFrame:
+    """``source`` and ``n_found`` of each listed object: how often ``old`` is in it, read in pieces; 0 after a rewrite to what does not hold ``old``."""
+    found = _through(objects, None, None, old, "", connection, piece_bytes)
+    return found.select("source", F.col("n_replaced").alias("n_found"))
+
+
+def _through(
+    objects: DataFrame, top: str | None, folder_uri: str | None, old: str, new: str,
+    connection: Mapping[str, str] | None, piece_bytes: int,
+) -> DataFrame:
+    """Each object read through a ``Replacement``, and written if there is a folder; what came of it, as a written frame."""
+    schema = pa.schema([("source", pa.string()), ("target", pa.string()), ("n_bytes", pa.int64()), ("n_replaced", pa.int64())])
+
+    def copy(source: str) -> dict:
+        replacement, target, n_bytes = Replacement(old, new), None, 0
+        store, path = open_store(source, connection)
+        # Without a compression, as the stores would guess one by the name.
+        with store.open_input_stream(path, compression=None) as handle:
+            pieces = replacement(iter(lambda: handle.read(piece_bytes), b""))
+            if folder_uri is None:
+                n_bytes = sum(map(len, pieces))
+            else:
+                if not source.startswith(f"{top}/"):
+                    raise ValueError(f"not below {top}: {source}")
+                target = f"{folder_uri.rstrip('/')}/{source[len(top) + 1:]}"
+                there, place = open_store(target, connection)
+                there.create_dir(place.rpartition("/")[0], recursive=True)
+                with there.open_output_stream(place, compression=None) as out:
+                    for piece in pieces:
+                        n_bytes += out.write(piece)
+        return {"source": source, "target": target, "n_bytes": n_bytes, "n_replaced": replacement.found}
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield pa.RecordBatch.from_pylist([copy(source) for source in batch.column(0).to_pylist()], schema=schema)
+
+    spread = objects.select("source").repartition(tasks_for(objects))
+    return materialize(spread.mapInArrow(run, "source string, target string, n_bytes bigint, n_replaced bigint"), "rewritten-objects")

@@ -172,6 +172,43 @@ def test_rewrite_objects_into_a_new_place(spark, tmp_path):
     assert (tmp_path / "old" / "a.json").read_text() == bodies["a.json"]
 
 
+def test_replacement_across_pieces():
+    text = b"abababa--ab-aab" * 3
+    for old in ("ab", "aba", "a", "abababa--", "zz"):
+        for size in range(1, 20):
+            replacement = path_rewrite.Replacement(old, "<ab>")
+            made = b"".join(replacement(text[k : k + size] for k in range(0, len(text), size)))
+            assert made == text.replace(old.encode(), b"<ab>")
+            assert replacement.found == text.count(old.encode())
+    assert b"".join(path_rewrite.Replacement("a", "b")(iter(()))) == b""
+    with pytest.raises(ValueError, match="nothing to replace"):
+        path_rewrite.Replacement("", "b")
+
+
+def test_rewrite_objects_in_pieces(spark, tmp_path):
+    bodies = {
+        "one/a 1%.json": b"x" * 70 + b"old.host" * 5, "two/a 1%.json": b"\xff\xfeold.hos", "two/deep/b.json.gz": b"old.hold.host", "c.json": b"",
+    }
+    for name, body in bodies.items():
+        path = tmp_path / "in" / name
+        path.parent.mkdir(parents=True, exist_ok=True)
+        path.write_bytes(body)
+    root, out = str(tmp_path / "in"), str(tmp_path / "out")
+    listed = list_files(spark, root, recursive=True)
+    done = path_rewrite.rewrite_objects(listed, root, out, "old.host", "new", piece_bytes=3).collect()
+    assert {r["source"].rsplit("/in/", 1)[1]: r["n_replaced"] for r in done} == {n: b.count(b"old.host") for n, b in bodies.items()}
+    for name, body in bodies.items():
+        assert (tmp_path / "out" / name).read_bytes() == body.replace(b"old.host", b"new")
+        assert (tmp_path / "in" / name).read_bytes() == body
+    found = path_rewrite.count_in_objects(listed, "old.host", piece_bytes=3).collect()
+    assert sorted(r["n_found"] for r in found) == [0, 0, 1, 5]
+    left = path_rewrite.count_in_objects(list_files(spark, out, recursive=True), "old.host", piece_bytes=3)
+    assert left.where("n_found > 0").isEmpty()
+    assert path_rewrite.rewrite_objects(listed.where("false"), root, out, "a", "b").isEmpty()
+    with pytest.raises(Exception, match="not below"):
+        path_rewrite.rewrite_objects(listed, str(tmp_path / "other"), out, "a", "b")
+
+
 def test_commit_history(spark):
     at = [dt.datetime(2025, 1, d) for d in (1, 2, 3)]
     log = spark.createDataFrame(
