@@ -44,26 +44,30 @@ def usable(embedding: Column) -> Column:
     return embedding.isNotNull() & finite & F.exists(embedding, lambda x: x != 0)
 
 
-def _matrix(column: pa.Array | pa.ChunkedArray, rows: int) -> np.ndarray:
-    """Unit vectors in double precision."""
-    x = np.frombuffer(b"".join(column.to_pylist())).reshape(rows, -1)
+def _matrix(vectors: list[bytes], dim: int) -> np.ndarray:
+    """Unit vectors in double precision, from the bytes of floats or doubles."""
+    x = np.frombuffer(b"".join(vectors), np.dtype(f"f{len(vectors[0]) // dim}")).reshape(len(vectors), dim).astype(np.float64)
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
 def _as_bytes(vectors: DataFrame, kind: T.DataType, label: T.DataType) -> DataFrame:
-    """label, dim, id, copies and the vector as the bytes of doubles, scaled so that no square overflows."""
+    """label, dim, id, copies and the vector as bytes: floats as they are, others as doubles scaled so that no square overflows."""
     schema = spark_schema([
         ("label", label), ("dim", T.IntegerType()), ("id", kind), ("copies", T.LongType()), ("h1", T.LongType()), ("h2", T.LongType()),
         ("vector", T.BinaryType()),
     ])
     arrow = to_arrow_schema(schema)
+    single = isinstance(vectors.schema["embedding"].dataType.elementType, T.FloatType)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data = []
             for own in batch.column("embedding"):
-                x = own.values.to_numpy(zero_copy_only=False).astype(np.float64)
-                data.append((x / np.abs(x).max()).tobytes())
+                x = own.values.to_numpy(zero_copy_only=False)
+                if not single:
+                    x = x.astype(np.float64)
+                    x = x / np.abs(x).max()
+                data.append(x.tobytes())
             columns = {c: batch.column(c) for c in ("label", "dim", "id", "copies", "h1", "h2")}
             yield arrow_batch(arrow, columns | {"vector": data})
 
@@ -78,8 +82,7 @@ def choose_pivots(classes: DataFrame, index: PivotIndex) -> dict[int, np.ndarray
         own = classes.where(F.col("dim") == dim)
         wanted = index.pivots_for(own.count())
         rows = own.orderBy(F.xxhash64("id", "label")).limit(wanted).select("vector").collect()
-        x = np.stack([np.frombuffer(row["vector"]) for row in rows])
-        pivots[dim] = x / np.linalg.norm(x, axis=1, keepdims=True)
+        pivots[dim] = _matrix([bytes(row["vector"]) for row in rows], dim)
     return pivots
 
 
@@ -102,7 +105,7 @@ def pivot_lists(classes: DataFrame, pivots: dict[int, np.ndarray], index: PivotI
                 for dim in np.unique(dims).tolist():
                     rows = np.flatnonzero(dims == dim)
                     part = batch.take(pa.array(rows))
-                    x = _matrix(part.column("vector"), len(rows))
+                    x = _matrix(part.column("vector").to_pylist(), dim)
                     if dim in pivots:
                         k = min(index.prefix, len(pivots[dim]))
                         nearest = np.argsort(-(x @ pivots[dim].T), axis=1, kind="stable")[:, :k]
@@ -131,7 +134,7 @@ def _compare(tile: pa.Table, index: PivotIndex) -> dict[str, np.ndarray] | None:
     if low[0] == high[0] and n < 2:
         return None
     near = np.stack(tile.column("near").to_pylist())
-    x = _matrix(tile.column("vector"), n)
+    x = _matrix(tile.column("vector").to_pylist(), tile.column("dim")[0].as_py())
     second = tile.column("second")[0].as_py()
     names, at = np.unique(near, return_inverse=True)
     held = np.zeros((n, len(names)), np.float32)
