@@ -12,6 +12,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from quayside.session import materialize, scratch_path, session_settings
 
@@ -22,6 +23,8 @@ EDGES_PER_BUCKET = 5_000_000
 MAX_BUCKETS_SETTING = "spark.sql.sources.bucketing.maxBuckets"
 ROUNDS_PER_WRITE = 4
 HOPS_PER_WRITE = 20
+# Landmarks in one word of a vertex's bit set.
+WORD_BITS = 64
 
 
 @dataclass(frozen=True)
@@ -169,40 +172,72 @@ def page_rank(
     return ranked.drop("sum").withColumn("pagerank", F.col("pagerank") * F.lit(float(scale)))
 
 
-def hop_counts(graph: Graph, landmarks: Sequence, hot_degree: int = HOT_DEGREE) -> DataFrame:
-    """``id, landmark, dist`` for every vertex and every landmark it can reach.
+def hop_sets(graph: Graph, landmarks: Sequence, hot_degree: int = HOT_DEGREE) -> tuple[DataFrame, list]:
+    """``id, dist, words``: bit ``i`` of ``words`` is set where the vertex reaches landmark ``i`` in ``dist`` hops and in no
+    fewer. Also the landmarks in the order of their bits; those that are no vertex are left out.
 
-    Grown backwards from the landmarks, one hop per round, until a round finds nothing new. Edges lie
-    bucketed by their end, and what was reached by vertex and landmark; a round shuffles the frontier
-    and what it finds, and adds that to the table.
+    Grown backwards from the landmarks, one hop per round, until a round finds nothing new. A vertex has one row per
+    hop that brought it something, however many landmarks that were, and sets meet by ``bit_or`` before and after the
+    shuffle. Edges lie bucketed by their end, what was reached by vertex; a round shuffles the frontier and its finds.
     """
     spark = graph.edges.sparkSession
+    asked = graph.vertices.where(F.col("id").isin(list(landmarks))).select("id").distinct()
+    known = sorted(row["id"] for row in asked.collect())  # at most as many as the caller named
+    bits = [f"w{k}" for k in range(-(-len(known) // WORD_BITS) or 1)]
     steps = materialize(graph.edges.select("src", "dst").where("src <> dst").distinct(), "steps")
     ends = materialize(steps.groupBy("dst").agg(F.count("*").alias("n")), "ends")
     hot = hot_keys(ends, "dst", hot_degree)
     buckets = buckets_for(spark, steps.count())
-    wanted = graph.vertices.where(F.col("id").isin(list(landmarks)))
-    start = wanted.select("id", F.col("id").alias("landmark"), F.lit(0).alias("dist"))
+    merged = [F.bit_or(w).alias(w) for w in bits]
+    number = F.array_position(F.array(*[F.lit(x) for x in known]), F.col("id")) - 1 if known else F.lit(0)
+    own = F.call_function("shiftleft", F.lit(1).cast("bigint"), (number % WORD_BITS).cast("int"))
+    at_home = [F.when(F.floor(number / WORD_BITS) == k, own).otherwise(0).cast("bigint").alias(w) for k, w in enumerate(bits)]
+    start = asked.select("id", F.lit(0).alias("dist"), *at_home)
+    fresh_bits = [
+        F.col(w).bitwiseAND(F.bitwise_not(F.coalesce(f"seen_{w}", F.lit(0).cast("bigint")))).alias(w) for w in bits
+    ]
+    any_bit = F.greatest(*[F.col(w) != 0 for w in bits]) if len(bits) > 1 else F.col(bits[0]) != 0
     dist = 0
-    with Bucketed(spark, ["dst", "part"], buckets) as edges, Bucketed(spark, ["id", "landmark"], buckets) as places:
+    with (
+        Bucketed(spark, ["dst", "part"], buckets) as edges,
+        Bucketed(spark, ["id"], buckets) as places,
+        session_settings(spark, {"spark.sql.shuffle.partitions": str(buckets)}),
+    ):
         steps = edges.write(edges.dealt(spread_edges(steps, "dst", "src", hot)), "edges")
         reached = places.write(places.dealt(start), "reached")
         while not (frontier := reached.where(F.col("dist") == dist)).isEmpty():
             dist += 1
-            heads = frontier.select(F.col("id").alias("dst"), "landmark")
-            found = steps.join(repeat_keys(heads, "dst", hot), edges.keys)
-            found = places.dealt(found.select(F.col("src").alias("id"), "landmark")).distinct()
-            fresh = found.join(reached.select("id", "landmark"), ["id", "landmark"], "left_anti")
-            reached = places.add(fresh.withColumn("dist", F.lit(dist)))
+            heads = frontier.select(F.col("id").alias("dst"), *bits)
+            arrived = steps.join(repeat_keys(heads, "dst", hot), edges.keys).select(F.col("src").alias("id"), *bits)
+            found = arrived.groupBy("id").agg(*merged)
+            seen = reached.groupBy("id").agg(*[F.bit_or(w).alias(f"seen_{w}") for w in bits])
+            fresh = found.join(seen, "id", "left").select("id", F.lit(dist).alias("dist"), *fresh_bits).where(any_bit)
+            reached = places.add(fresh)
             if dist % HOPS_PER_WRITE == 0:
                 reached = places.write(places.dealt(reached), "reached")
-        return materialize(reached, "reached")
+        return materialize(reached.select("id", "dist", F.array(*bits).alias("words")), "reached"), known
+
+
+def _landmarks_of(words: Column, known: list, id_type) -> Column:
+    """Landmarks whose bits are set."""
+    names = F.array(*[F.lit(x) for x in known]).cast(T.ArrayType(id_type))
+    return F.filter(names, lambda _, i: F.getbit(F.get(words, F.floor(i / WORD_BITS).cast("int")), i % WORD_BITS) == 1)
+
+
+def hop_counts(graph: Graph, landmarks: Sequence, hot_degree: int = HOT_DEGREE) -> DataFrame:
+    """``id, landmark, dist`` for every vertex and every landmark it can reach."""
+    sets, known = hop_sets(graph, landmarks, hot_degree)
+    landmark = F.explode(_landmarks_of(F.col("words"), known, sets.schema["id"].dataType)).alias("landmark")
+    return sets.select("id", landmark, "dist")
 
 
 def shortest_paths(graph: Graph, landmarks: Sequence, hot_degree: int = HOT_DEGREE) -> DataFrame:
     """Vertices with a map landmark -> hops; landmarks out of reach have no entry."""
-    hops = hop_counts(graph, landmarks, hot_degree)
-    entries = hops.groupBy("id").agg(F.collect_list(F.struct("landmark", "dist")).alias("entries"))
+    sets, known = hop_sets(graph, landmarks, hot_degree)
+    of_hop = F.transform(
+        _landmarks_of(F.col("words"), known, sets.schema["id"].dataType), lambda x: F.struct(x.alias("landmark"), "dist")
+    )
+    entries = sets.groupBy("id").agg(F.flatten(F.collect_list(of_hop)).alias("entries"))
     joined = graph.vertices.join(entries, "id", "left")
     empty = F.array().cast(joined.schema["entries"].dataType)
     return joined.withColumn("distances", F.map_from_entries(F.coalesce("entries", empty))).drop("entries")

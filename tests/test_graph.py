@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from quayside.operators import graph as graph_module
-from quayside.operators.graph import Graph, hop_counts, page_rank
+from quayside.operators.graph import Graph, hop_counts, hop_sets, page_rank
 
 
 @pytest.fixture(scope="module")
@@ -128,6 +128,24 @@ def test_shortest_paths(harbour):
     assert distances(["p", "r"])["s"] == {"p": 1, "r": 3}
 
 
+def test_many_landmarks(spark, skewed):
+    """Bit sets of several words; all vertices are landmarks, and so are some ids that are no vertex."""
+    n, pairs = skewed
+    rng = random.Random(9)
+    more = [(rng.randint(1, 3 * n), rng.randint(1, 3 * n)) for _ in range(6 * n)]
+    graph = numbered(spark, 3 * n + 1, pairs + more)
+    landmarks = [*range(1, 3 * n + 2), 10_000, 10_001, 1]
+    expected = {(v, m): d for m in range(1, 3 * n + 2) for v, d in brute_hops(3 * n + 1, pairs + more, m).items()}
+    assert {(r["id"], r["landmark"]): r["dist"] for r in hop_counts(graph, landmarks).collect()} == expected
+    sets, known = hop_sets(graph, landmarks)
+    assert known == list(range(1, 3 * n + 2))
+    assert sets.count() == len({(v, d) for (v, _), d in expected.items()})
+    paths = {r["id"]: r["distances"] for r in graph.shortest_paths(landmarks).collect()}
+    assert {(v, m): d for v, found in paths.items() for m, d in found.items()} == expected
+    assert all(r["distances"] == {} for r in graph.shortest_paths([10_000]).collect())
+    assert all(r["distances"] == {} for r in graph.shortest_paths([]).collect())
+
+
 def test_long_path(spark, monkeypatch):
     monkeypatch.setattr(graph_module, "HOPS_PER_WRITE", 3)
     graph = numbered(spark, 9, [(i, i + 1) for i in range(1, 9)])
