@@ -102,6 +102,20 @@ def latest_total_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return newest.select(F.col("summary")["total-records"].cast("bigint").alias("total_rows"))
 
 
+def commit_operations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All of ``events`` in two loads, of which the second stopped after its intents and was run again by the next run."""
+    events, landing = events_by_day(spark, sf_dir), scratch_path(spark, "landing")
+    loader = ArchiveLoader(spark, _tiers(spark, landing), table="events")
+    land_archives(events.where(_before(LOADED_UNTIL)), landing)
+    loader.run()
+    land_archives(events.where(~_before(LOADED_UNTIL)), landing)
+    pending = load_log.pending_files(loader.discover(), loader.log.outcomes())
+    loader.log.write_intents(f"L1-{loader.job}-stopped", pending)
+    loader.run()
+    history = audit.commit_history(loader.log.outcomes(), replayed=loader.log.replayed())
+    return history.select("target_table", "operation", "added_files", "added_records", "total_records")
+
+
 def load_log_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     loader = ArchiveLoader(spark, _tiers(spark, events_landing(spark, sf_dir)), table="events")
     loader.run()
@@ -256,6 +270,7 @@ QUERIES = {
     "already_loaded_files": already_loaded_files,
     "commit_history": commit_history,
     "latest_total_records": latest_total_records,
+    "commit_operations": commit_operations,
     "load_log_rows": load_log_rows,
     "ingest_fan_in": ingest_fan_in,
     "registered_table": registered_table,
@@ -289,6 +304,14 @@ ORACLES = {
                CAST(sum(added_records) OVER (ORDER BY commit) AS BIGINT) AS total_records
         FROM commits""",
     "latest_total_records": "SELECT count(*) AS total_rows FROM events",
+    "commit_operations": f"""
+        WITH commits AS (
+          SELECT ts >= TIMESTAMP '{LOADED_UNTIL} 00:00:00' AS late, count(DISTINCT archive) AS added_files,
+                 count(*) AS added_records
+          FROM ({EVENT_ARCHIVES_SQL}) GROUP BY 1)
+        SELECT 'events' AS target_table, CASE WHEN late THEN 'replay' ELSE 'append' END AS operation, added_files,
+               added_records, CAST(sum(added_records) OVER (ORDER BY late) AS BIGINT) AS total_records
+        FROM commits""",
     "load_log_rows": f"""
         SELECT archive || '.zip' AS source_name, 'events' AS target_table, 'processed' AS status,
                count(*) AS n_rows, true AS is_stamped

@@ -7,9 +7,11 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quayside.plans.load_log import PROCESSED
+from quayside.plans.load_log import PROCESSED, REPLAY
 from quayside.session import materialize
 
+# Fixed value: what a commit is that ran through at once.
+APPEND = "append"
 #: Rows that one task adds up in their order.
 BLOCK_ROWS = 1 << 20
 
@@ -34,11 +36,12 @@ def running_total(
     return ranged.join(before, [*by, "__block"]).withColumn(name, total).drop("__block", "__before")
 
 
-def commit_history(log: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
+def commit_history(log: DataFrame, block_rows: int = BLOCK_ROWS, replayed: DataFrame | None = None) -> DataFrame:
     """One row per load and table, newest first, with running ``total_records``.
 
     Log rows are summed per commit first; totals run over blocks of commits, so a table of any number of loads is
-    no single task's.
+    no single task's. ``replayed`` names by ``load_id`` the loads that stopped and were run again: their commits
+    are a ``replay``, all others an ``append``.
     """
     commits = (
         log.where(F.col("status") == PROCESSED)
@@ -50,11 +53,15 @@ def commit_history(log: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
         )
     )
     totals = running_total(commits, ["target_table"], ["committed_at", "load_id"], "added_records", "total_records", block_rows)
+    operation = F.lit(APPEND)
+    if replayed is not None:
+        marked = replayed.select("load_id", F.lit(REPLAY).alias("kind")).distinct()
+        totals, operation = totals.join(marked, "load_id", "left"), F.coalesce("kind", operation)
     return totals.select(
         "target_table",
         "load_id",
         "committed_at",
-        F.lit("append").alias("operation"),
+        operation.alias("operation"),
         "added_files",
         "added_records",
         "total_records",

@@ -13,6 +13,7 @@ from quayside.session import read_or_empty
 
 # Statuses a file can have in the log or in a run's summary.
 INTENT = "intent"
+REPLAY = "replay"
 PROCESSED = "processed"
 ALREADY_LOGGED = "already_logged"
 NO_CSV = "no_csv"
@@ -107,6 +108,19 @@ class LoadLog:
         )
         self._write(load_id, INTENT, rows)
 
+    def is_announced(self, load_id: str) -> bool:
+        """Whether a load wrote its intents before."""
+        return not self.rows().where((F.col("load_id") == load_id) & (F.col("phase") == INTENT)).isEmpty()
+
+    def write_replay(self, load_id: str) -> None:
+        """Record that an announced load is run again, before its data is replaced."""
+        again = self.intents(load_id).drop("loaded_at").withColumn("status", F.lit(REPLAY))
+        self._write(load_id, REPLAY, again)
+
+    def replayed(self) -> DataFrame:
+        """Loads that were run again, by ``load_id``."""
+        return self.rows().where(F.col("phase") == REPLAY).select("load_id").distinct()
+
     def write_outcomes(self, load_id: str, files: DataFrame) -> None:
         """Record how a load ended; the last step of a load."""
         self._write(load_id, "done", files)

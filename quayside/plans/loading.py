@@ -85,7 +85,7 @@ class Loader:
     def run(self) -> DataFrame:
         """Load what is new. One row: found, processed, skipped, failed, logged."""
         n_loads, unfinished = self.log.state()
-        done = [self.load(load_id) for load_id in unfinished if f"-{self.job}-" in load_id]
+        done = [self.replay(load_id) for load_id in unfinished if f"-{self.job}-" in load_id]
         discovered = self.discover()
         found = discovered.count()
         if not found:
@@ -112,6 +112,11 @@ class Loader:
         self.log.write_intents(load_id, again)
         return self.load(load_id)
 
+    def replay(self, load_id: str) -> str:
+        """Run an announced load again; the log tells it from one that ran through."""
+        self.log.write_replay(load_id)
+        return self.load(load_id)
+
     def load(self, load_id: str) -> str:
         """Run, or run again, one announced load."""
         intents = self.log.intents(load_id)

@@ -46,8 +46,9 @@ def start_archive_stream(
         done_before = loader.log.outcomes().where(F.col("load_id") != load_id)
         again = load_log.due_again(done_before, retry_after).join(files.select(*load_log.KEY), load_log.KEY, "left_anti")
         offered = load_log.pending_files(files, done_before).select(*again.columns).unionByName(again)
+        run = loader.replay if loader.log.is_announced(load_id) else loader.load
         loader.log.write_intents(load_id, offered)
-        loader.load(load_id)
+        run(load_id)
 
     return (
         listed.writeStream.queryName(query_name)

@@ -1,7 +1,9 @@
 """Loads that must not lose, mix or overwrite rows, whatever names and jobs meet."""
 
 import pytest
+from pyspark.errors import StreamingQueryException
 
+from quayside.operators.audit import commit_history
 from quayside.operators.path_rewrite import write_text_objects
 from quayside.plans.archive_load import ArchiveLoader
 from quayside.plans.loading import LOG_FOLDER
@@ -116,3 +118,33 @@ def test_failed_files_wait_longer_each_time(spark):
     )
     assert {r["source"] for r in due_again(log, 600).collect()} == {"once", "long", "old"}
     assert {r["source"] for r in due_again(log, 0).collect()} == {"once", "early", "twice", "long", "old"}
+
+
+def test_commits_tell_replays_apart(spark, area, monkeypatch, tmp_path):  # noqa: F811
+    """A load that stopped and ran again is a replay, in a run and in a stream; one that stops again is still one commit."""
+    loader = ArchiveLoader(spark, area.tiers, table="t")
+
+    def stopped(*_):
+        raise RuntimeError("stopped")
+
+    area.csv("a.zip", "id\n1\n")
+    loader.run()
+    area.csv("b.zip", "id\n2\n3\n")
+    with monkeypatch.context() as patch:
+        patch.setattr(loader.log, "write_outcomes", stopped)
+        for _ in range(2):
+            with pytest.raises(RuntimeError, match="stopped"):
+                loader.run()
+    loader.run()
+    area.csv("c.zip", "id\n4\n")
+    with monkeypatch.context() as patch:
+        patch.setattr(loader.log, "write_outcomes", stopped)
+        with pytest.raises(StreamingQueryException):
+            start_archive_stream(loader, str(tmp_path / "stream"), "load").awaitTermination()
+    start_archive_stream(loader, str(tmp_path / "stream"), "load").awaitTermination()
+    area.csv("d.zip", "id\n5\n")
+    start_archive_stream(loader, str(tmp_path / "stream"), "load").awaitTermination()
+    history = commit_history(loader.log.outcomes(), replayed=loader.log.replayed()).collect()
+    assert [(r["operation"], r["added_records"], r["total_records"]) for r in reversed(history)] == [
+        ("append", 1, 1), ("replay", 2, 3), ("replay", 1, 4), ("append", 1, 5)]
+    assert {r["operation"] for r in commit_history(loader.log.outcomes()).collect()} == {"append"}
