@@ -67,7 +67,12 @@ def dedup_lines(docs: DataFrame, min_docs: int = 3, min_chars: int = 20) -> Data
     gone = attach(lines, shared, ["key"], "n_rows", lines.count()).where(F.col("doc_id") != F.col("keeper"))
     gone = gone.groupBy(F.col("doc_id").alias("__id")).agg(F.collect_set("key").alias("gone"))
 
-    rows = packed(docs, F.col("doc_id").alias("__id")).join(gone, "__id", "left").select("rest", "text", "gone")
+    # Rows without an id match nothing, however many they are; the second key deals them to all tasks. It is no
+    # constant on either side, which Spark would take out of the keys.
+    dealt = F.when(F.col("doc_id").isNull(), F.monotonically_increasing_id()).otherwise(F.xxhash64("doc_id"))
+    gone = gone.withColumn("__part", F.xxhash64("__id"))
+    rows = packed(docs, F.col("doc_id").alias("__id"), dealt.alias("__part")).join(gone, ["__id", "__part"], "left")
+    rows = rows.select("rest", "text", "gone")
     schema = T.StructType([rest_field(docs), *spark_schema([
         ("text", T.StringType()), ("n_lines", T.LongType()), ("n_dropped", T.LongType())
     ]).fields])

@@ -137,6 +137,27 @@ def test_line_dedup(spark, sf_dir, given, table_of, odd):
     assert line_dedup.dedup_lines(table_of([])).count() == 0
 
 
+def test_line_dedup_deals_rows_without_an_id_to_all_tasks(spark):
+    from pyspark.sql import functions as F
+
+    line = "a line that all of the documents share"
+    rows = spark.range(3000).select(
+        F.when(F.col("id") % 3 == 0, F.col("id")).alias("doc_id"), F.concat(F.lit(f"{line}\n"), "id").alias("text"))
+    before = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.coalescePartitions.enabled")}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        found = line_dedup.dedup_lines(rows).withColumn("task", F.spark_partition_id()).collect()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert len(found) == 3000
+    assert {(r.doc_id, r.n_dropped) for r in found if r.doc_id is not None} == {(i, int(i != 2997)) for i in range(0, 3000, 3)}
+    assert [r.n_dropped for r in found if r.doc_id is None] == [0] * 2000
+    tasks = [r.task for r in found if r.doc_id is None]
+    assert max(map(tasks.count, set(tasks))) < 1000
+
+
 def test_byte_bpe(spark, sf_dir, given, table_of, odd):
     assert tuples(queries.op4_byte_bpe(spark, sf_dir)) == brute.byte_bpe(given, queries.BYTE_BPE)
     odd = [*odd, (20, "ab" * 400), (21, "\x1c  x\u0085 \U00010ee7a 'S's  \n "), (None, "x")]
