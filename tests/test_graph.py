@@ -156,3 +156,17 @@ def test_no_edges(spark):
     graph = numbered(spark, 3, [])
     assert ranks(graph.page_rank(0.15, 3)) == pytest.approx({1: 1.0, 2: 1.0, 3: 1.0})
     assert hop_counts(graph, [1]).collect()[0]["dist"] == 0
+
+
+def test_rounds_join_a_row_per_vertex(spark):
+    pairs = [(1, k) for k in range(2, 41)] + [(k, 1) for k in range(2, 41)]
+    graph = numbered(spark, 40, pairs)
+    copies = graph.edges.groupBy("src", "dst").agg(F.count("*").alias("copies"))
+    starts = copies.groupBy("src").agg(F.sum("copies").alias("out_degree"), F.count("*").alias("n"))
+    hot = spark.createDataFrame([], "src bigint, groups int")
+    tables = graph_module.Bucketed(spark, ["src", "part"], 3)
+    assert graph_module.edge_rows(tables, copies, starts, hot).count() == 40
+    some = graph_module.edge_rows(tables, copies, starts, hot, edges_per_row=10).collect()
+    assert 40 < len(some) <= 39 + 4
+    assert sorted((r.src, e.dst, e.share) for r in some for e in r.edges) == sorted((a, b, 1 / 39 if a == 1 else 1.0) for a, b in pairs)
+    assert ranks(graph.page_rank(0.01, 20)) == pytest.approx(brute_ranks(40, pairs, 0.01, 20))
