@@ -236,3 +236,14 @@ def test_runs_are_coded_and_merged_as_sorted():
         merged, common = suffix_dedup._merged(runs, suffix_dedup.Repeats(fan=fan, lanes=lanes))
         assert (merged.right == rows[suffix_dedup._order(suffix_dedup._words(rows))]).all()
         assert (common[1:] == suffix_dedup._common(merged.right[1:], merged.right[:-1])).all()
+
+
+def test_hashes_of_anchors_fill_all_parts_alike():
+    plan = suffix_dedup.Repeats()
+    text = np.random.default_rng(3).integers(0, 256, 300_000).astype(np.uint8)
+    ends = np.array([100_000, 300_000])
+    block = suffix_dedup.Block(text, ends, np.arange(2), np.arange(2))
+    hashes = suffix_dedup._announced(block, suffix_dedup.find_anchors(text, ends, plan), plan)
+    for parts in (4, 64):
+        sizes = np.bincount(suffix_dedup._parts_of(hashes, parts), minlength=parts)
+        assert len(hashes) > 15_000 and sizes.max() < 1.5 * sizes.mean() and sizes.min() > 0.5 * sizes.mean()
