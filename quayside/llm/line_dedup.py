@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from quayside.llm.common import arrow_batch, attach, bytes_of, packed, rest_field, spark_schema, unpacked
+from quayside.llm.common import arrow_batch, attach, bytes_of, packed, rest_field, spark_schema, tidy, unpacked
 from quayside.session import materialize
 
 #: Rows of one Arrow batch of line keys.
@@ -44,7 +44,7 @@ def line_keys(docs: DataFrame, min_chars: int) -> DataFrame:
         yield arrow_batch(arrow, {"doc_id": ids, "key": keys})
 
     some = docs.where(F.col("doc_id").isNotNull() & F.col("text").isNotNull()).select("doc_id", "text")
-    return some.mapInArrow(explode, schema)
+    return some.mapInArrow(tidy(explode), schema)
 
 
 def dedup_lines(docs: DataFrame, min_docs: int = 3, min_chars: int = 20) -> DataFrame:
@@ -92,4 +92,4 @@ def dedup_lines(docs: DataFrame, min_docs: int = 3, min_chars: int = 20) -> Data
             rest = batch.column("rest").cast(arrow.field("rest").type)
             yield arrow_batch(arrow, {"rest": rest, "text": made, "n_lines": before, "n_dropped": dropped})
 
-    return unpacked(rows.mapInArrow(reassemble, schema), docs.columns, ["n_lines", "n_dropped"])
+    return unpacked(rows.mapInArrow(tidy(reassemble), schema), docs.columns, ["n_lines", "n_dropped"])

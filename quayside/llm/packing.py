@@ -13,9 +13,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from quayside.llm.common import arrow_batch, slices, spark_schema, texts_of
+from quayside.llm.common import arrow_batch, slices, spark_schema, texts_of, tidy
 from quayside.llm.word_ids import word_ids
-from quayside.session import materialize
+from quayside.session import materialize, session_settings
 
 #: Pieces that one task packs together.
 GROUP = 4096
@@ -23,6 +23,8 @@ GROUP = 4096
 MAX_EMPTY = 0.002
 #: Rounds before all that is left is final.
 MAX_ROUNDS = 6
+#: Texts of one Arrow batch, which a task holds on both sides, the JVM in buffers of up to twice its size.
+BATCH = 500
 
 
 def sum_of_squares(lengths: Sequence[int], size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -94,7 +96,7 @@ def cut_pieces(docs: DataFrame, tokenizer: str, end_id: int = 0, size: int = 204
                             rows[name].append(value)
                 yield arrow_batch(arrow, rows)
 
-    return docs.select("doc_id", "text").mapInArrow(run, schema)
+    return docs.select("doc_id", "text").mapInArrow(tidy(run), schema)
 
 
 def _packer(size: int, number: int, last: bool):
@@ -125,7 +127,8 @@ def pack_pieces(pieces: DataFrame, size: int = 2048) -> DataFrame:
     give way.
     """
     row = F.monotonically_increasing_id()
-    pieces = materialize(pieces.drop("sequence_id", "offset").withColumn("__row", row), "pieces")
+    with session_settings(pieces.sparkSession, {"spark.sql.execution.arrow.maxRecordsPerBatch": str(BATCH)}):
+        pieces = materialize(pieces.drop("sequence_id", "offset").withColumn("__row", row), "pieces")
     placed = [pieces.where(F.col("length") >= size).select("__row", (F.col("__row") * 8).alias("sequence_id"), F.lit(0).cast("long").alias("offset"))]
     rest = pieces.where(F.col("length") < size).select("__row", "length")
     schema = "__row long, length long, sequence_id long, offset long, final boolean"

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from quayside.llm.common import arrow_batch, packed, rest_field, slices, spark_schema, texts_of, unpacked
+from quayside.llm.common import arrow_batch, packed, rest_field, slices, spark_schema, texts_of, tidy, unpacked
 from quayside.session import materialize
 
 _SYMBOLS = b"#*$%&|<>"
@@ -120,7 +120,7 @@ def document_statistics(docs: DataFrame) -> DataFrame:
                 x = [statistics(text or "") for text in texts_of(part)]
                 yield arrow_batch(arrow, {"doc_id": part.column("doc_id"), "x": x})
 
-    return docs.select("doc_id", "text").mapInArrow(run, schema)
+    return docs.select("doc_id", "text").mapInArrow(tidy(run), schema)
 
 
 def _rows(batch: pa.RecordBatch) -> np.ndarray:
@@ -265,4 +265,4 @@ def score_documents(docs: DataFrame, model: QualityModel) -> DataFrame:
                 rest = part.column("rest").cast(arrow.field("rest").type)
                 yield arrow_batch(arrow, {"rest": rest, "text": part.column("text").cast(pa.string()), "score": model.score(x)})
 
-    return unpacked(packed(docs).mapInArrow(run, schema), docs.columns, ["score"])
+    return unpacked(packed(docs).mapInArrow(tidy(run), schema), docs.columns, ["score"])

@@ -10,6 +10,8 @@ from collections.abc import Iterator, Sequence
 
 #: Pieces of text whose ids a worker keeps; over it, it starts anew.
 KNOWN_PIECES = 700_000
+#: Pieces that are learnt at a time: what the tokenizer tells of a piece takes many times the room of its ids.
+LEARNT = 4096
 
 #: Marks before a space, parted from the letter or digit they follow: the tokenizer parts them there itself.
 #: Not after U+0130, whose small letter ends in a combining mark.
@@ -51,8 +53,10 @@ class WordIds:
         self.known: dict[str, bytes] = {"": b""}
 
     def _learn(self, new: list[str]) -> None:
-        encoded = tokenizer_of(self.path).encode_batch_fast(new, add_special_tokens=False)
-        self.known.update(zip(new, [array("I", e.ids).tobytes() for e in encoded]))
+        for at in range(0, len(new), LEARNT):
+            some = new[at : at + LEARNT]
+            encoded = tokenizer_of(self.path).encode_batch_fast(some, add_special_tokens=False)
+            self.known.update(zip(some, [array("I", e.ids).tobytes() for e in encoded]))
 
     def encode(self, texts: Sequence[str]) -> Iterator[bytes]:
         """Ids of each text as 32-bit numbers of the machine's order."""

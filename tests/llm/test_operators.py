@@ -494,3 +494,20 @@ def test_native_plans_hold_no_python(spark, sf_dir):
     for query in (queries.op2_rendezvous_sharding, queries.op10_quality_rules):
         plan = query(spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
         assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
+
+
+def test_pieces_are_learnt_a_few_at_a_time(monkeypatch):
+    from quayside.llm import word_ids
+
+    tokenizer, most = word_ids.tokenizer_of(queries.WORD_BPE), []
+
+    class Counted:
+        def encode_batch_fast(self, new, **how):
+            most.append(len(new))
+            return tokenizer.encode_batch_fast(new, **how)
+
+    monkeypatch.setattr(word_ids, "tokenizer_of", lambda path: Counted())
+    texts = [" ".join(f"w{k}x{k * k}" for k in range(a, a + 9000)) for a in (0, 5000)]
+    found = list(word_ids.WordIds(queries.WORD_BPE).encode(texts))
+    assert max(most) <= 4096
+    assert found == [np.array(tokenizer.encode(t, add_special_tokens=False).ids, np.uint32).tobytes() for t in texts]
