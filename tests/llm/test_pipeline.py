@@ -44,3 +44,33 @@ def test_run_and_clashing_columns(spark, sf_dir):
         out = stage(spark, docs, sf_dir)
         assert out.columns == docs.columns and out.select("score", "n_lines", "rest").distinct().collect() == [("mine",) * 3]
         assert stage(spark, docs.limit(0), sf_dir).count() == 0
+
+
+def test_batches_are_bounded_by_bytes(spark, sf_dir, monkeypatch):
+    import pyarrow as pa
+    from pyspark.sql import functions as F
+
+    def sizes(docs, model):
+        def run(batches):
+            for batch in batches:
+                n = batch.num_rows
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("doc_id"), pa.array([str(batch.get_total_buffer_size())] * n), pa.array([1.0] * n)], ["doc_id", "text", "score"]
+                )
+
+        return docs.mapInArrow(run, "doc_id long, text string, score double")
+
+    monkeypatch.setattr(corpus_pipeline.quality_model, "score_documents", sizes)
+    docs = spark.range(1, 41, 1, 1).select(F.col("id").alias("doc_id"), F.repeat(F.lit("word "), 40_000).alias("text"))
+    key = corpus_pipeline.BATCH_SETTING
+    stage = corpus_pipeline.STAGES[0][1]
+    spark.conf.unset(key)
+    try:
+        found = [int(r.text) for r in stage(spark, docs, sf_dir).collect()]
+        # A row that passes the limit goes with its batch, and buffers are up to twice their content.
+        assert len(found) == 40 and max(found) <= 4 << 20
+        spark.conf.set(key, str(1 << 24))
+        stage(spark, docs.limit(0), sf_dir)
+        assert spark.conf.get(key) == str(1 << 24)
+    finally:
+        spark.conf.unset(key)
