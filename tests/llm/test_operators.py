@@ -511,3 +511,32 @@ def test_pieces_are_learnt_a_few_at_a_time(monkeypatch):
     found = list(word_ids.WordIds(queries.WORD_BPE).encode(texts))
     assert max(most) <= 4096
     assert found == [np.array(tokenizer.encode(t, add_special_tokens=False).ids, np.uint32).tobytes() for t in texts]
+
+
+def test_words_of_letters_are_learnt_by_the_line(monkeypatch):
+    from quayside.llm import word_ids
+
+    tokenizer, given = word_ids.tokenizer_of(queries.WORD_BPE), []
+
+    class Counted:
+        model, get_vocab = tokenizer.model, tokenizer.get_vocab
+
+        def encode_batch_fast(self, new, **how):
+            given.extend(new)
+            return tokenizer.encode_batch_fast(new, **how)
+
+    monkeypatch.setattr(word_ids, "tokenizer_of", lambda path: Counted())
+    words = ["".join("acdefghilm"[int(c)] for c in str(k * k + 10**6)) for k in range(5000)]
+    encoder = word_ids.WordIds(queries.WORD_BPE)
+    # Small letters with combining marks, decomposed letters and case pairs beside plain words.
+    texts = [" ".join(words), "Straße İstanbul क़ख़ ΣΑΣ ǅ ﬁx ét é ª x", ""]
+    found = list(encoder.encode(texts))
+    assert found == [np.array(tokenizer.encode(t, add_special_tokens=False).ids, np.uint32).tobytes() for t in texts]
+    assert len(given) <= 10
+
+    # Over its limit it forgets what is not needed at once, and learns nothing again that is.
+    monkeypatch.setattr(word_ids, "KNOWN_PIECES", 5000)
+    given.clear()
+    [again] = encoder.encode([" ".join([*words[:4000], "newword"])])
+    assert given == ["newword"] and len(encoder.known) == 4002
+    assert again == b"".join(encoder.known[word] for word in [*words[:4000], "newword"]) and found[0].startswith(again[: -len(encoder.known["newword"])])
